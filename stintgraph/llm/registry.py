@@ -9,7 +9,7 @@ from types import ModuleType
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules that register queries: each has QUERIES and ORACLE_SQL.
-MODULES = ["url_filter", "warc", "packing", "sharding", "topk_search", "jaccard_join", "license_scan", "quality_rules"]
+MODULES = ["url_filter", "warc", "packing", "sharding", "topk_search", "suffix_dedup", "jaccard_join", "license_scan", "quality_rules"]
 
 
 def _modules() -> list[ModuleType]:
