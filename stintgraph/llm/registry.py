@@ -8,6 +8,8 @@ from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 #: Modules that register queries: each has QUERIES and ORACLE_SQL.
 MODULES = ["url_filter", "warc", "packing", "sharding", "topk_search", "suffix_dedup", "jaccard_join", "license_scan", "quality_rules"]
 
@@ -17,8 +19,9 @@ def _modules() -> list[ModuleType]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for m in _modules() for k, f in m.QUERIES.items()}
+    return {k: f for m in _modules() for k, f in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for m in _modules() for k, s in m.ORACLE_SQL.items()}
+    own = {k: s for m in _modules() for k, s in m.ORACLE_SQL.items()}
+    return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

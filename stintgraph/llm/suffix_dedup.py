@@ -140,9 +140,9 @@ _ENTRY = [("anchor", pa.int64()), ("x", pa.int64()), ("y", pa.int64()), ("_id",
 _ENTRY_SQL = "anchor bigint, x bigint, y bigint, _id bigint, _h int, place int, low int, high int"
 
 
-def _entries(marked: DataFrame, length: int, single: DataFrame | None) -> DataFrame:
+def _entries(marked: DataFrame, length: int, single: bool = False) -> DataFrame:
     """An entry for every context of ``marked`` (_id, _h, _text, places), with n, the number of equal
-    ones in the same portion; of those one goes on. ``single``: for strings, one by one, of anchors in it."""
+    ones in the same portion; of those one goes on. ``single``: for every string of every context."""
     schema = pa.schema([*_ENTRY, ("n", pa.int32()), ("told", pa.bool_())])
     half = length // 2
 
@@ -157,7 +157,7 @@ def _entries(marked: DataFrame, length: int, single: DataFrame | None) -> DataFr
             repeats: list[tuple] = []
             for i, h, body, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2)), _places_of(b.column(3)), strict=True):
                 for a, low, high in _contexts(body, places, length):
-                    for lo, hi in [(low, high)] if single is None else [(j, j) for j in range(low, high + 1)]:
+                    for lo, hi in [(low, high)] if not single else [(j, j) for j in range(low, high + 1)]:
                         key = hashlib.blake2b(body[a - hi : a - lo + length] + b"%d,%d" % (lo, hi), digest_size=16).digest()
                         if (known := held.get(key)) is None:
                             x, y = (int.from_bytes(key[k : k + 8], "little", signed=True) for k in (0, 8))
@@ -253,7 +253,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     places = repeated_anchors(texts, length, buckets)
     marked = written(texts.join(places, ["_id", "_h"]), "marked")
     one_each = marked.dropDuplicates(["_id", "_h"])
-    entries = written(_entries(marked, length, None), "entries")
+    entries = written(_entries(marked, length), "entries")
     repeated, classes = _once_more(entries)
     spans = [_spans(entries.where("told"), length), _spans(repeated, length)]
     by_anchor = written(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).where("different > 1"), "anchors")
@@ -262,8 +262,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     large = by_anchor.where(F.col("different") > LARGEST)
     if not large.isEmpty():
         of = open_.where(F.col("different") > LARGEST).groupBy("_id", "_h").agg(F.collect_set("place").alias("_place"))
-        as_bytes = F.transform("_place", lambda p: F.reverse(F.unhex(F.lpad(F.hex(p), 8, "0"))))
-        strings = written(_entries(marked.drop("places").join(of, ["_id", "_h"]).withColumn("places", as_bytes), length, large), "strings")
+        big = lambda p: F.unhex(F.lpad(F.hex(p), 8, "0"))
+        as_bytes = F.transform("_place", lambda p: F.concat(*(F.substring(big(p), k, 1) for k in (4, 3, 2, 1))))
+        strings = written(_entries(marked.drop("places").join(of, ["_id", "_h"]).withColumn("places", as_bytes), length, single=True), "strings")
         again, _ = _once_more(strings)
         spans += [_spans(strings.where("told"), length), _spans(again, length)]
     every = spans[0]

@@ -233,7 +233,7 @@ def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = assemble(read_archives(write_archives(pages, path), path))
     fields = F.filter(F.flatten("metadata.fields"), lambda x: x["name"] == "page_id")
     page = F.get(fields, 0)["value"].cast("bigint").alias("page_id")
-    flat = written(captures.select(page, "capture.*"), "captures")
+    flat = written(captures.select(page, *(f"capture.{x}" for x in ("record_id", "type", "payload_bytes", "payload_digest", "refers_to"))), "captures")
     known = flat.where("type <> 'revisit'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("_refers"))
     return flat.join(known, "refers_to", "left").select(
         "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("_refers").alias("refers_to")
