@@ -4,8 +4,8 @@
 2. Sets are ordered rarest shingle first (counted over all documents; the order decides the cost,
    never the result). Two sets alike enough share one of their first ``n - ceil(t n) + 1`` shingles.
    So documents meet in groups by such a shingle.
-3. A group is cut into tiles by size band; tiles meet whose bands allow the similarity. Signatures of 1024 hashed bits bound the overlap from above: sets differ in at least
-   as many shingles as their signatures differ in bits.
+3. A group is cut into tiles by size band; tiles meet whose bands allow the similarity. Signatures of some two hashed bits per shingle bound the overlap from above: sets
+   differ in at least as many shingles as their signatures differ in bits.
 4. What is left is decided by exact intersection of the sorted arrays.
 
 Pairs are looked at in two rounds. First every document of a group meets the group's smallest one
@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintgraph.llm.components import connected_components
-from stintgraph.llm.shared import batch, n_shuffle, raw, written
+from stintgraph.llm.shared import batch, n_shuffle, portions, raw, written
 from stintgraph.llm.shingles import U64, shingle_sets
 
 WIDTH, PERCENT = 5, 75
-SIGNATURE_BITS = 1024
+#: Bits of a signature: the power of two next above twice the set's size, within these.
+LEAST_BITS, MOST_BITS = 512, 1 << 17
 #: A worker counts, and hands on, so many shingles at a time.
 FLUSH = 1 << 21
 #: Shingles that are this frequent within one such portion are summed up over all; at most
@@ -44,11 +46,20 @@ def texts_of(column: pa.Array) -> list[bytes]:
 
 
 def signature(hashes: np.ndarray) -> bytes:
-    bits = np.zeros(SIGNATURE_BITS, bool)
-    bits[(hashes & U64(SIGNATURE_BITS - 1)).astype(np.int64)] = True
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (2 * len(hashes)).bit_length()))
+    bits = np.zeros(size, bool)
+    bits[(hashes & U64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
 
 
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """The signature as it would be with ``size`` bytes, in words."""
+    words = np.frombuffer(bits, U64)
+    while len(words) * 8 > size:
+        words = words[: len(words) // 2] | words[len(words) // 2 :]
+    return words
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
@@ -81,7 +92,7 @@ def described(docs: DataFrame, width: int) -> DataFrame:
             k = int(often.sum())
             return batch(schema, [[1] * k, values[often].view(np.int64), n[often], [None] * k, [None] * k])
 
-        for b in batches:
+        for b in portions(batches):
             sets = shingle_sets(texts_of(b.column(1)), width)
             yield batch(schema, [[0] * len(sets), b.column(0), [len(s) for s in sets], [hashlib.blake2b(raw(s), digest_size=16).digest() for s in sets], [signature(s) for s in sets]])
             held += sets
@@ -123,7 +134,7 @@ def meeting_groups(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], wid
             parts = [(k, order[a:b]) for k, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
             return batch(entry, [[k for k, _ in parts], *([raw(x[p]) for _, p in parts] for x in (h, ids, sizes))])
 
-        for b in batches:
+        for b in portions(batches):
             for doc_id, s in zip(b.column(0).to_pylist(), shingle_sets(texts_of(b.column(1)), width), strict=True):
                 if not len(s) or doc_id is None:
                     continue
@@ -187,44 +198,42 @@ def meeting_groups(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], wid
     return dealt.repartition(buckets, "bucket").mapInArrow(gather, "kind int, a bigint, b bigint, members binary")
 
 
-def bits_allow(left: np.ndarray, right: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Whether signatures, each row 64-bit words, leave an overlap large enough for sets of together ``sizes``."""
-    differ = np.bitwise_count(left ^ right).sum(-1, dtype=np.int64)
+def overlap_allowed(differ: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of together ``sizes`` shingles, whose signatures differ in so many bits, may be alike."""
     # overlap <= (sizes - differ) / 2, and 100 * overlap >= percent * (sizes - overlap) is needed
     return (100 + percent) * (sizes - differ) >= 2 * percent * sizes
 
 
-def _words(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), U64).reshape(len(column), SIGNATURE_BITS // 64)
-
-
 def allowed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a < b) of different class representatives that sizes and signatures allow."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                n = b.column(4).to_numpy() + b.column(5).to_numpy()
-                keep = bits_allow(_words(b.column(2)), _words(b.column(3)), n, percent)
+                sides = zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)
+                differ = [int(np.bitwise_count(folded(x, len(y)) ^ folded(y, len(x))).sum()) for x, y in sides]
+                keep = overlap_allowed(np.array(differ), b.column(4).to_numpy() + b.column(5).to_numpy(), percent)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    side = lambda k: nodes.select(F.col("_id").alias(k), F.col("rep").alias(f"{k}_rep"), F.col("bits").alias(f"{k}_bits"), F.col("n").alias(f"{k}_n"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b").where("a_rep <> b_rep")
+    of = lambda k: nodes.select(F.col("_id").alias(k), F.col("rep").alias(f"{k}_rep"), F.col("n").alias(f"{k}_n"))
+    met = pairs.join(of("a"), "a").join(of("b"), "b").where("a_rep <> b_rep")
     met = met.where(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
-    kept = met.select("a_rep", "b_rep", "a_bits", "b_bits", "a_n", "b_n").mapInArrow(work, "a bigint, b bigint")
-    return kept.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).dropDuplicates(["a", "b"])
+    reps = met.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).dropDuplicates()
+    side = lambda k: nodes.where("_id = rep").select(F.col("_id").alias(k), F.col("bits").alias(f"{k}_bits"), F.col("n").alias(f"{k}_n")).dropDuplicates([k])
+    signed = written(reps, "pairs").join(side("a"), "a").join(side("b"), "b")
+    return signed.select("a", "b", "a_bits", "b_bits", "a_n", "b_n").mapInArrow(work, "a bigint, b bigint")
 
 
 def linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of ``pairs`` whose sets are alike, by exact intersection."""
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in portions(batches):
             found = [raw(s) for s in shingle_sets(texts_of(b.column(1)), width)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["_id", "hashes"])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in portions(batches):
             keep = []
             for left, right in zip(b.column(2), b.column(3), strict=True):
                 x, y = np.frombuffer(left.as_py(), U64), np.frombuffer(right.as_py(), U64)
@@ -255,35 +264,45 @@ def across(groups: DataFrame, nodes: DataFrame, components: DataFrame, percent:
     known = written(rows.join(places.select("_id", "rep", "component", "n"), "_id").select("_group", "rep", "component", "n").dropDuplicates(["_group", "rep"]), "members")
     mixed = known.groupBy("_group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi").select("_group", "m")
     mixed = written(mixed, "mixed")
-    own = known.join(mixed, "_group").join(nodes.where("_id = rep").select("rep", "bits"), "rep")
-    # size bands that are a factor of 100 / percent wide: sets meet within a band and with the next one
+    own = known.join(mixed, "_group").join(nodes.where("_id = rep").select("rep", "bits").dropDuplicates(["rep"]), "rep")
+    # small groups are one tile; in others size bands are a factor of 100 / percent wide: sets meet within a band and with the next one
     tiles = F.ceil(F.col("m") / TILE).cast("bigint")
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
+    band = F.when(tiles > 1, F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))).otherwise(0)
     ranked = own.withColumns({"_tiles": tiles, "_band": band}).withColumn("_tile", F.col("_band") * F.col("_tiles") + F.pmod(F.xxhash64("rep"), "_tiles"))
-    beside = F.sequence((F.col("_band") - 1) * F.col("_tiles"), (F.col("_band") + 2) * F.col("_tiles") - 1)
+    beside = F.when(tiles > 1, F.sequence((F.col("_band") - 1) * F.col("_tiles"), (F.col("_band") + 2) * F.col("_tiles") - 1)).otherwise(F.array(F.col("_tile")))
     left = ranked.select("*", F.explode(beside).alias("_other"))
     meet = left.withColumns({"_x": F.least("_tile", "_other"), "_y": F.greatest("_tile", "_other")})
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def tile(table: pa.Table) -> pa.Table:
-        bits = np.frombuffer(b"".join(table["bits"].to_pylist()), U64).reshape(table.num_rows, SIGNATURE_BITS // 64)
-        n, comp, rep, at = (table[c].to_numpy() for c in ("n", "component", "rep", "_tile"))
-        x, y = table["_x"][0].as_py(), table["_y"][0].as_py()
-        order = np.argsort(n, kind="stable")
-        bits, n, comp, rep, at = bits[order], n[order], comp[order], rep[order], at[order]
-        found = []
-        for i in range(len(rep)):
-            until = np.searchsorted(n, n[i] * 100 // percent, "right")
-            j = np.arange(i + 1, until)
-            j = j[(comp[j] != comp[i]) & ((x == y) | (at[j] != at[i]))]
+    def tile(rows: list[tuple], same: bool) -> Iterator[np.ndarray]:
+        rows.sort(key=lambda r: r[6])
+        at, rep, comp, n = (np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5, 6))
+        size = np.array([len(r[7]) for r in rows])
+        # sets from the first of a signature's size on, all folded to it
+        of = {k: (first := int(np.searchsorted(size, k)), np.stack([folded(r[7], k) for r in rows[first:]])) for k in np.unique(size).tolist()}
+        for i in range(len(rep) - 1):
+            first, bits = of[int(size[i])]
+            j = np.arange(i + 1, np.searchsorted(n, n[i] * 100 // percent, "right"))
+            j = j[(comp[j] != comp[i]) & (same | (at[j] != at[i]))]
             if len(j):
-                j = j[bits_allow(bits[j], bits[i], n[j] + n[i], percent)]
-                found.append(np.stack([np.minimum(rep[j], rep[i]), np.maximum(rep[j], rep[i])], 1))
-        pairs = np.concatenate(found) if found else np.empty((0, 2), np.int64)
-        return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=out)
+                j = j[overlap_allowed(np.bitwise_count(bits[j - first] ^ bits[i - first]).sum(1, dtype=np.int64), n[j] + n[i], percent)]
+                yield np.stack([np.minimum(rep[j], rep[i]), np.maximum(rep[j], rep[i])], 1)
 
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        found: set[tuple[int, int]] = set()
+        for (_, x, y), own in groupby(rows, key=lambda r: r[:3]):
+            for pairs in tile(list(own), x == y):
+                found.update(map(tuple, pairs.tolist()))
+            if len(found) >= 1 << 16:
+                yield batch(out, [*map(list, zip(*found, strict=True))])
+                found.clear()
+        if found:
+            yield batch(out, [*map(list, zip(*found, strict=True))])
+
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     columns = meet.select("_group", "_x", "_y", "_tile", "rep", "component", "n", "bits")
-    return columns.groupBy("_group", "_x", "_y").applyInArrow(tile, "a bigint, b bigint").dropDuplicates(["a", "b"])
+    tiled = columns.repartition("_group", "_x", "_y").sortWithinPartitions("_group", "_x", "_y")
+    return tiled.mapInArrow(work, "a bigint, b bigint").dropDuplicates(["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

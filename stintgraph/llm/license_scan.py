@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintgraph.llm.shared import batch
+from stintgraph.llm.shared import batch, portions
 
 #: Phrases whose words, standing consecutively, are a base hit, and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -160,7 +160,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     schema = pa.schema([("_key", pa.int64()), ("n_words", pa.int64()), ("hits", hit), ("expressions", pa.list_(pa.string())), ("labels", pa.list_(pa.string())), ("score", pa.float64())])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in portions(batches):
             rows = [scan_text(x.as_py()) for x in b.column(1)]
             hits = [[{"phrase": p, "word": n} for p, n in r["hits"]] for r in rows]
             yield batch(schema, [b.column(0), [r["n_words"] for r in rows], hits, *([r[k] for r in rows] for k in ("expressions", "labels", "score"))])

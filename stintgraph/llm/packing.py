@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stintgraph.llm.shared import batch
+from stintgraph.llm.shared import batch, portions
 
 CAPACITY, CUTS = 1024, 5
 #: A worker remembers the ids of so many distinct words (some 150 bytes each), then starts anew.
@@ -146,7 +146,7 @@ def pack(
         def rows() -> pa.RecordBatch:
             return batch(schema, [[x[2][0] for x in done], [x[2][1] for x in done], [x[2][2] for x in done], [x[2][3] for x in done], [x[2][4] for x in done], [x[0] for x in done], [x[1] for x in done]])
 
-        for b in batches:
+        for b in portions(batches):
             for doc_id, body in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 ids = encode(body.as_py() or "") + end
                 total, start = len(ids) // 4, 0

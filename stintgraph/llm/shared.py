@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,14 @@ def n_shuffle(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def portions(batches: Iterable[pa.RecordBatch], most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes, so that what is made of a batch stays small."""
+    for b in batches:
+        step = max(1, b.num_rows * most // max(1, b.nbytes))
+        for at in range(0, b.num_rows, step):
+            yield b.slice(at, step)
+
+
 def raw(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array).tobytes()
 

@@ -32,7 +32,7 @@ def _powers(size: int, of: int) -> np.ndarray:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE ** i and its inverse, for i up to ``n`` at least."""
-    size = 1 << max(16, n.bit_length() + 1)
+    size = 1 << max(16, n.bit_length())
     return _powers(size, BASE), _powers(size, INVERSE)
 
 

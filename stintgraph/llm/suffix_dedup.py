@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintgraph.llm.jaccard_join import texts_of
-from stintgraph.llm.shared import batch, n_shuffle, raw, written
+from stintgraph.llm.shared import batch, n_shuffle, portions, raw, written
 from stintgraph.llm.shingles import U64, groups
 from stintgraph.llm.suffix_sort import anchors, repeated_windows
 
@@ -31,7 +31,9 @@ LENGTH = 400
 #: Anchors that a worker holds before it hands them on.
 FLUSH = 1 << 19
 #: Different contexts of an anchor that one task may sort, and bytes of contexts it sorts at a time.
-LARGEST, SORTED_BYTES = 40_000, 4 << 20
+LARGEST, SORTED_BYTES = 40_000, 1 << 20
+#: Different contexts that a worker remembers before it hands them on.
+REMEMBERED = 1 << 16
 
 _PLACES = pa.schema([("bucket", pa.int32()), ("_id", pa.int64()), ("_h", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("hs", pa.binary()), ("places", pa.binary())])
 _PLACES_SQL = "bucket int, _id bigint, _h int, hashes binary, ids binary, hs binary, places binary"
@@ -78,7 +80,7 @@ def repeated_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
             yield batch(_PLACES, [[k for k, _ in parts], none, none, *([raw(c[p]) for _, p in parts] for c in (h, ids, hs, places))])
 
         total = 0
-        for b in batches:
+        for b in portions(batches):
             bodies = texts_of(b.column(2))
             ids, hs = b.column(0).to_numpy(), b.column(1).to_numpy()
             for at in groups(bodies):
@@ -153,7 +155,7 @@ def _entries(marked: DataFrame, length: int, single: bool = False) -> DataFrame:
             rows = [x for x in held.values()]
             return batch(schema, [*map(list, zip(*rows, strict=True))])
 
-        for b in batches:
+        for b in portions(batches):
             repeats: list[tuple] = []
             for i, h, body, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2)), _places_of(b.column(3)), strict=True):
                 for a, low, high in _contexts(body, places, length):
@@ -170,7 +172,7 @@ def _entries(marked: DataFrame, length: int, single: bool = False) -> DataFrame:
             if repeats:
                 # repeated within this portion: told at once, and not sent to be counted again
                 yield batch(schema, [*map(list, zip(*[(*r[:8], 0, True) for r in repeats], strict=True))])
-            if len(held) >= FLUSH:
+            if len(held) >= REMEMBERED:
                 yield dealt()
                 held.clear()
         if held:
@@ -224,7 +226,7 @@ def _with_context(marked: DataFrame, wanted: DataFrame, length: int) -> DataFram
     schema = pa.schema([_ENTRY[0], *_ENTRY[3:], ("context", pa.binary())])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in portions(batches):
             rows = [(e["anchor"], i, h, e["place"], e["low"], e["high"], body[e["place"] - e["high"] : e["place"] - e["low"] + length])
                     for i, h, body, es in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2)), b.column(3).to_pylist(), strict=True) for e in es]
             if rows:
