@@ -1,19 +1,278 @@
-"""All registered queries of the employment engine."""
+"""All registered queries of the employment engine, each with its SQL twin."""
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stintgraph.functions import agency, names, prepare
+from stintgraph.operators import candidates, gates, scoring, search, sync
+from stintgraph.plans import resolve
+from stintgraph.plans.twins import ORACLES
+from stintgraph.sources import tables
+from stintgraph.sources.places import shared_dir
+from stintgraph.streaming.ingest import ingest_available
+
+AS_OF = dt.date(9999, 12, 31)
+#: What the demo queries ask for.
+ASKED = search.Search(first_name="al", last_name="b1", state=None)
+PAGE = search.Search(agency="police", limit=50, offset=20)
+STRICT = 0.95
+
+
+class Data:
+    """The views a query reads, each made when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark, self.sf = spark, sf_dir
+
+    def table(self, name: str) -> DataFrame:
+        return tables.table(self.spark, self.sf, name)
+
+    @property
+    def e(self) -> DataFrame:
+        return tables.employment(self.spark, self.sf)
+
+    @property
+    def m(self) -> DataFrame:
+        return tables.mentions(self.spark, self.sf)
+
+    @property
+    def common(self) -> DataFrame:
+        return tables.common_last_names(self.e)
+
+    @property
+    def stated(self) -> DataFrame:
+        return self.m.where("state is not null")
+
+    def candidates(self) -> DataFrame:
+        return candidates.select_candidates(search.candidate_net(self.stated, self.e), AS_OF)
+
+    def scored(self) -> DataFrame:
+        rows = scoring.scored(self.candidates())
+        return rows.withColumns({"above_threshold": gates.above_threshold(F.col("match_probability"), STRICT), "exact_name": gates.exact_name()})
+
+    def resolved(self) -> tuple[DataFrame, DataFrame]:
+        return resolve.resolve(self.m, self.e, self.common, AS_OF)
+
+    def docs(self, changed: bool = False) -> DataFrame:
+        """Customers as source documents of a state; a second version has fewer, more and changed ones."""
+        c = self.table("customer").join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        k = F.col("c_custkey")
+        if changed:
+            c = c.where(k % 11 != 0)
+        value = F.when((k % 7 == 0) & F.lit(changed), F.concat("c_name", F.lit("x"))).otherwise(F.col("c_name"))
+        left = c if changed else c.where(k % 17 != 0)
+        return left.select(F.concat(F.lit("d/"), k.cast("string")).alias("fs_path"), F.lower("n_name").alias("state"), F.to_json(F.struct(value.alias("phone"))).alias("raw"))
+
+
+def _text(c: str) -> Column:
+    return F.array_join(F.transform(c, lambda g: F.concat_ws(":", g["name"], g["status"], g["detail"])), "|").alias(c)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Candidates of every mention, counted."""
+    d = Data(spark, sf_dir)
+    n = d.candidates().groupBy("mention_uid").agg(F.count(F.lit(1)).alias("n_candidates"), F.countDistinct("post_person_nbr").alias("n_persons"))
+    every = d.m.select("mention_uid").join(n, "mention_uid", "left")
+    return every.select("mention_uid", *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_candidates", "n_persons")))
+
+
+def _names(d: Data) -> DataFrame:
+    return d.m.select(F.col("mention_first_name").alias("first_name"), F.col("mention_last_name").alias("last_name"))
+
+
+def _county(d: Data) -> DataFrame:
+    kept = search.candidate_net(d.stated, d.e).withColumn("_in", candidates.in_county(F.lit("ASIA"))).where("_in")
+    return kept.groupBy("mention_uid").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _types(d: Data) -> DataFrame:
+    net = search.candidate_net(d.stated, d.e).withColumn("real", candidates.has_real_types())
+    return net.groupBy("mention_uid").agg(F.count(F.lit(1)).alias("n"), F.max("real").cast("int").alias("real_types"))
+
+
+def _features(d: Data) -> DataFrame:
+    rows = scoring.features(d.candidates())
+    wanted = [f"{p}_name_{k}" for p in names.PARTS for k in ("jaro", "levenshtein", "length_ratio")]
+    return rows.select("mention_uid", "rec_ord", "mention_full_name", "post_full_name", *(F.round(c, 6).alias(c) for c in wanted))
+
+
+def _cosine(d: Data) -> DataFrame:
+    e = d.table("embeddings")
+    a = e.select(F.col("vec_id").alias("a"), F.col("embedding").alias("x"))
+    b = e.select((F.col("vec_id") - 1).alias("a"), F.col("vec_id").alias("b"), F.col("embedding").alias("y"))
+    return a.join(b, "a").select("a", "b", F.round(names.cosine(F.col("x"), F.col("y")), 6).alias("cosine"))
+
+
+def _agency_rows(d: Data) -> DataFrame:
+    """Agencies with mentioned ones as a list, as plain text, or none."""
+    k = F.col("mention_id")
+    listed = F.when(k % 3 == 0, F.concat(F.lit("['"), F.col("mention_agency"), F.lit("', 'CHP']"))).when(k % 3 == 1, "County Coroner").otherwise("")
+    post = F.when(k % 5 == 0, "").when(k % 5 == 1, "State Library").otherwise("Springfield Police Department")
+    return d.m.select("mention_uid", "mention_agency", listed.alias("mentioned"), post.alias("post"))
+
+
+def _classified(d: Data) -> DataFrame:
+    every = d.e.select(F.col("post_agency_name").alias("agency")).unionByName(d.m.select(F.col("mention_agency").alias("agency"))).distinct()
+    a = F.col("agency")
+    return every.select("agency", agency.is_le(a).cast("int").alias("le"), agency.is_non_le(a).cast("int").alias("non_le"))
+
+
+def _guarded(d: Data) -> DataFrame:
+    a = agency.to_check(F.col("mention_agency"), F.col("mentioned"))
+    valid = agency.validation(F.col("mention_agency"), F.col("mentioned"), F.col("post"))
+    return _agency_rows(d).select("mention_uid", F.array_join(a, "|").alias("agencies"), agency.guarded(a, F.col("post")).cast("int").alias("blocked"), valid.reason.alias("reason"))
+
+
+def _persons_best(d: Data) -> DataFrame:
+    rows = d.scored()
+    told = gates.is_best(gates.best(rows.where("above_threshold and exact_name")), rows)
+    return told.where("is_best").groupBy("mention_uid", "post_person_nbr").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _verdicts(d: Data) -> DataFrame:
+    v, _ = d.resolved()
+    person = F.coalesce(F.col("match.post_person_nbr"), F.lit(""))
+    return v.select("mention_uid", "status", "reason", F.col("ambiguous").cast("int").alias("ambiguous"), person.alias("post_person_nbr"), _text("gates"))
+
+
+def _routes(d: Data) -> DataFrame:
+    v, _ = d.resolved()
+    return v.groupBy(tables.bucket(F.col("status"), F.col("reason")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _sections(d: Data) -> DataFrame:
+    return gates.sections(d.resolved()[1]).select("mention_id", F.col("section").cast("int").alias("section"), "title", "n", "persons")
+
+
+def _lists(d: Data) -> DataFrame:
+    lists = resolve.candidate_lists(d.resolved()[1])
+    return lists.select("mention_id", F.size("candidates").cast("int").alias("n"), F.get("candidates", 0).post_person_nbr.alias("first_person"))
+
+
+def _csv_rows(d: Data) -> DataFrame:
+    """Mentions as a CSV file would give them, all text."""
+    t = d.m
+    return t.select(F.col("mention_first_name").alias("first_name"), F.col("mention_last_name").alias("last_name"), F.col("mention_agency").alias("source_agency"),
+                    F.concat(F.lit(" "), F.col("incident_year").cast("string"), F.lit(".0 ")).alias("incident_year"), "mention_id")
+
+
+def _uid(d: Data) -> DataFrame:
+    rows = _csv_rows(d)
+    return rows.select("mention_id", prepare.officer_uid(rows).alias("uid"))
+
+
+def _years(d: Data) -> DataFrame:
+    o = F.col("o_orderkey")
+    day = F.col("o_orderdate").cast("date")
+    shapes = F.when(o % 4 == 0, F.concat(day.cast("string"), F.lit(", 3/4/2018"))).when(o % 4 == 1, F.date_format(day, "MM/dd/yyyy")).when(o % 4 == 2, F.concat(F.lit("about "), F.year(day).cast("string"))).otherwise("unknown")
+    return d.table("orders").select("o_orderkey", F.coalesce(prepare.recent_year(shapes), F.lit(0)).alias("year"))
+
+
+def _plan(d: Data) -> DataFrame:
+    n = d.table("nation").select(F.lower("n_name").alias("state"), F.col("n_nationkey").alias("k"))
+    counts = d.docs(True).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    stats = n.select("state", F.to_timestamp(F.lit("2024-01-02")).alias("last_updated"))
+    known = n.where("k % 5 <> 0").join(counts, "state", "left")
+    meta = known.select("state", F.when(F.col("k") % 3 == 0, F.to_timestamp(F.lit("2024-01-01"))).otherwise(F.to_timestamp(F.lit("2024-01-02"))).alias("last_updated"), (F.coalesce("n", F.lit(0)) + F.when(F.col("k") % 7 == 1, 1).otherwise(0)).alias("row_count"))
+    return sync.sync_plan(stats, meta, counts)
+
+
+def _merged(d: Data) -> DataFrame:
+    states = ["france", "germany", "china", "japan"]
+    fresh = d.docs(True).where(F.col("state").isin(states))
+    return sync.merged(d.docs(), fresh, states).select("fs_path", "state", "raw")
+
+
+def _sample(d: Data) -> DataFrame:
+    return prepare.seeded_sample(d.m, 100, 7).select("mention_uid")
+
+
+def _ingest(d: Data) -> DataFrame:
+    at = f"{shared_dir(d.spark)}/ingest-{uuid.uuid4().hex}"
+    schema = d.table("events").schema
+    ingest_available(d.spark, d.sf, schema, f"{at}/out", f"{at}/checkpoint", "events.parquet")
+    return d.spark.read.schema(schema).parquet(f"{at}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _states(d: Data) -> DataFrame:
+    codes = d.spark.createDataFrame([(c,) for c in [*names.STATES, " ca ", "New York", "california", "ZZ", ""]], "given string")
+    return codes.select("given", names.normal_state(F.col("given")).alias("state"))
+
+
+def _pairs(d: Data) -> DataFrame:
+    """Distinct pairs of the names that candidates bring together."""
+    return d.candidates().select(F.lower("mention_last_name").alias("a"), F.lower("post_last_name").alias("b")).distinct()
+
+
+def _kernel(d: Data, kernel: Callable, name: str) -> DataFrame:
+    return _pairs(d).select("a", "b", F.round(kernel(F.col("a"), F.col("b")), 6).alias(name))
+
+
+BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
+    "search_contains": lambda d: search.search(d.e, ASKED).select("rec_ord", "post_person_nbr", "post_first_name", "post_last_name", "state"),
+    "search_page": lambda d: search.search(d.e, PAGE).select("rec_ord", "post_agency_name"),
+    "search_summary": lambda d: search.search_summary(d.e, ASKED),
+    "count_filtered": lambda d: search.count(d.e, ASKED),
+    "count_all": lambda d: search.count(d.e, search.Search()),
+    "count_by_state": lambda d: search.count_by_state(d.e),
+    "normal_states": _states,
+    "officers_by_name": lambda d: search.officers_by_name(d.stated, d.e).select("mention_uid", "rec_ord"),
+    "same_name_count": lambda d: search.same_name_count(d.stated, d.e),
+    "name_uniqueness": lambda d: search.name_uniqueness(_names(d), d.e),
+    "candidate_net": lambda d: search.candidate_nets(d.stated, d.e).select("mention_uid", "rec_ord", "net"),
+    "candidate_net_dedup": lambda d: search.candidate_net(d.stated, d.e).groupBy("mention_uid").agg(F.count(F.lit(1)).alias("n"), F.sum("rec_ord").alias("ords")),
+    "batch_candidate_meta": lambda d: search.net_summary(d.stated, search.candidate_net(d.stated, d.e)),
+    "agency_counties": lambda d: search.agency_counties(d.e.select(F.col("post_agency_name").alias("agency")).distinct()),
+    "date_overlap": lambda d: d.e.where(candidates.in_date_range(F.col("post_start_date"), F.col("post_end_date"), F.lit(1995), AS_OF)).select("rec_ord"),
+    "county_person_filter": _county,
+    "agency_type_detect": _types,
+    "select_candidates": lambda d: d.candidates().select("mention_uid", "rec_ord"),
+    "stage0_gates": lambda d: gates.stage0(d.m, d.common, search.same_name_count(d.m, d.e)).select("mention_uid", F.col("skip").cast("int").alias("skip"), "reason", _text("gates")),
+    "lev_norm": lambda d: _kernel(d, names.levenshtein_norm, "value"),
+    "length_ratio": lambda d: _kernel(d, names.length_ratio, "value"),
+    "jaro_winkler": lambda d: _kernel(d, names.jaro_winkler, "value"),
+    "full_name_features": _features,
+    "embedding_cosine": _cosine,
+    "score_candidates": lambda d: d.scored().select("mention_uid", "rec_ord", "match_probability"),
+    "threshold_filter": lambda d: d.scored().where("above_threshold").select("mention_uid", "rec_ord"),
+    "exact_name_split": lambda d: d.scored().groupBy("mention_uid").agg(F.count_if("exact_name").alias("n_exact"), F.count_if(~F.col("exact_name")).alias("n_failed")),
+    "ambiguous_mentions": lambda d: gates.ambiguous(d.scored().where("exact_name"), "mention_uid"),
+    "best_match": lambda d: gates.best(d.scored()).select("mention_uid", "rec_ord", "post_person_nbr", "match_probability"),
+    "best_person_stints": _persons_best,
+    "agency_classify": _classified,
+    "agency_list_guard": _guarded,
+    "verdicts": _verdicts,
+    "candidate_lists": _lists,
+    "gate_sections": _sections,
+    "route_buckets": _routes,
+    "batch_summary": lambda d: resolve.summary(d.resolved()[0]),
+    "duplicate_rate": lambda d: gates.duplicate_rate(d.e, "post_person_nbr"),
+    "officer_uid": _uid,
+    "recent_year": _years,
+    "sync_plan": _plan,
+    "sync_diff": lambda d: sync.diff(d.docs(), d.docs(True)),
+    "merge_result": _merged,
+    "append_new": lambda d: sync.append_new(d.docs(), d.docs(True)).select("fs_path", "state"),
+    "resolve_flagship": lambda d: d.resolved()[0].groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n")),
+    "seeded_sample": _sample,
+    "stream_ingest": _ingest,
+}
+
+
+def _run(build: Callable[[Data], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build(Data(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {"flagship": flagship} | {k: partial(_run, f) for k, f in BUILDERS.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: s for k, s in ORACLES.items() if k in BUILDERS or k == "flagship"}
