@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 
 #: Modules that register queries: each has QUERIES and ORACLE_SQL.
-MODULES = ["url_filter", "warc", "packing", "sharding", "topk_search", "suffix_dedup", "jaccard_join", "license_scan", "quality_rules"]
+MODULES = ["url_filter", "warc", "packing", "sharding", "topk_search", "sentence_pieces", "suffix_dedup", "jaccard_join", "license_scan", "quality_rules"]
 
 
 def _modules() -> list[ModuleType]:
