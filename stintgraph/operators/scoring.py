@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stintgraph.functions.names import feature_columns, jaro_winkler, levenshtein_norm
 
@@ -38,5 +39,5 @@ def scored_by(candidates: DataFrame, model: Callable[[pd.DataFrame], "pd.Series"
             b["match_probability"] = model(b[own]).to_numpy(dtype=float) if len(b) else pd.Series(dtype=float)
             yield b
 
-    schema = candidates.schema.add("match_probability", "double")
+    schema = StructType([*candidates.schema.fields, StructField("match_probability", DoubleType())])
     return candidates.mapInPandas(work, schema)
