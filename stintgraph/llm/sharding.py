@@ -55,14 +55,16 @@ def external_shuffle(
         .count()
         .select("_shard", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
     )
-    in_order = F.array_sort(F.collect_list(F.struct(F.xxhash64("_shard", "_bucket", k).alias("_at"), F.struct(*[f"`{c}`" for c in rows.columns]).alias("_row"))))
+    # the built-in shuffle draws its numbers by partition, so rows and buckets come in an order that any run gives
+    order = ["_shard", "_bucket", F.xxhash64("_shard", "_bucket", k), k, t]
     dealt = (
         scattered.repartition(shards * per_shard, "_shard", "_bucket")
+        .sortWithinPartitions(*order)
         .groupBy("_shard", "_bucket")
-        .agg(F.shuffle(in_order, seed).alias("_rows"))
+        .agg(F.shuffle(F.collect_list(F.struct(*[f"`{c}`" for c in rows.columns])), seed).alias("_rows"))
         .join(starts, ["_shard", "_bucket"])
     )
-    return dealt.select("_shard", "_start", F.posexplode("_rows")).select("col._row.*", "_shard", (F.col("_start") + F.col("pos")).alias("_slot"))
+    return dealt.select("_shard", "_start", F.posexplode("_rows")).select("col.*", "_shard", (F.col("_start") + F.col("pos")).alias("_slot"))
 
 
 def write_shards(shuffled: DataFrame, path: str) -> None:
