@@ -219,7 +219,7 @@ def assemble(records: DataFrame) -> DataFrame:
     named = others.select(F.explode("concurrent_to").alias("_of"), F.struct(*slim).alias("_r"))
     naming = captures.select(F.col("record_id").alias("_of"), F.explode("concurrent_to").alias("_id"))
     naming = naming.join(others.select(F.col("record_id").alias("_id"), F.struct(*slim).alias("_r")), "_id").select("_of", "_r")
-    beside = named.unionByName(naming).dropDuplicates()
+    beside = named.unionByName(naming).withColumn("_k", F.col("_r.record_id")).dropDuplicates(["_of", "_k"])
     kind = lambda t: F.array_sort(F.collect_list(F.when(F.col("_r.type") == t, F.col("_r"))))
     groups = beside.groupBy("_of").agg(kind("request").alias("requests"), kind("metadata").alias("metadata"))
     rows = captures.select(F.struct(*captures.columns).alias("capture")).join(groups, F.col("capture.record_id") == F.col("_of"), "left")
