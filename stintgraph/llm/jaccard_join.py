@@ -8,8 +8,9 @@
    differ in at least as many shingles as their signatures differ in bits.
 4. What is left is decided by exact intersection of the sorted arrays.
 
-Pairs are looked at in two rounds. First every document of a group meets the group's smallest one
-in its size band; the links found make components. Then tiles meet in full, but for pairs within a
+Pairs are looked at in rounds, and components grow with the links found. First every document of a
+group meets the group's smallest one in its size band; then the one that its signature is most like
+in its tiles, outside its own component; at last tiles meet in full, but for pairs within a
 component, which need no further link. No group is expanded into all its pairs.
 """
 
@@ -39,6 +40,8 @@ FLUSH = 1 << 21
 FREQUENT, ORDERED_LAST = 6, 1 << 18
 #: Documents in a tile.
 TILE = 512
+#: Rounds in which a document meets only the one most like it, before the round of all that are left.
+NEAREST_ROUNDS = 1
 
 
 def texts_of(column: pa.Array) -> list[bytes]:
@@ -248,9 +251,10 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
     return met.mapInArrow(work, "a bigint, b bigint")
 
 
-def across(groups: DataFrame, nodes: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Pairs of the groups' members in different components that sizes and signatures allow. A group's
-    representatives are cut into size bands and those into tiles of TILE at most on average; a task gets two tiles."""
+def across(groups: DataFrame, nodes: DataFrame, components: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
+    """Pairs of the groups' members in different components that sizes and signatures allow; with
+    ``nearest`` only each member's most alike by signature. A group's representatives are cut into
+    size bands and those into tiles of TILE at most on average; a task gets two tiles."""
     places = nodes.join(components.withColumnsRenamed({"node": "rep"}), "rep", "left").select("_id", "rep", "n", "bits", F.coalesce("component", "rep").alias("component"))
     listed = groups.dropDuplicates(["members"]).withColumn("_group", F.xxhash64("members"))
 
@@ -284,7 +288,11 @@ def across(groups: DataFrame, nodes: DataFrame, components: DataFrame, percent:
             j = np.arange(i + 1, np.searchsorted(n, n[i] * 100 // percent, "right"))
             j = j[(comp[j] != comp[i]) & (same | (at[j] != at[i]))]
             if len(j):
-                j = j[overlap_allowed(np.bitwise_count(bits[j - first] ^ bits[i - first]).sum(1, dtype=np.int64), n[j] + n[i], percent)]
+                differ = np.bitwise_count(bits[j - first] ^ bits[i - first]).sum(1, dtype=np.int64)
+                keep = overlap_allowed(differ, n[j] + n[i], percent)
+                j, differ = j[keep], differ[keep]
+                if nearest and len(j):
+                    j = j[[np.argmin(differ / (n[j] + n[i]))]]
                 yield np.stack([np.minimum(rep[j], rep[i]), np.maximum(rep[j], rep[i])], 1)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,11 +334,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     first = written(allowed(met.where("kind = 0").select("a", "b").dropDuplicates(), nodes, percent), "pairs")
     links = written(linked(first, given, width, percent), "alike")
     components = written(connected_components(links), "components")
-    second = written(across(met.where("kind = 1").select("members"), nodes, components, percent).join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        more = linked(second, given, width, percent)
+    tested, lists = first, met.where("kind = 1").select("members")
+    for nearest in (*[True] * NEAREST_ROUNDS, False):
+        pairs = written(across(lists, nodes, components, percent, nearest).join(tested, ["a", "b"], "left_anti"), "pairs")
+        more = written(linked(pairs, given, width, percent), "alike")
+        if more.isEmpty():
+            continue
         stars = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
         components = written(connected_components(stars.unionByName(more)), "components")
+        tested = tested.unionByName(pairs)
     places = nodes.select("_id", "rep").dropDuplicates(["_id", "rep"]).join(components.withColumnsRenamed({"node": "rep"}), "rep", "left").select("rep", F.coalesce("component", "rep").alias("_component")).dropDuplicates(["rep"])
     class_of = classes.join(places, "rep").select("whole", "_component")
     out = slim.join(class_of, "whole", "left")
