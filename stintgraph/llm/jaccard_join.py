@@ -268,7 +268,10 @@ def across(groups: DataFrame, nodes: DataFrame, components: DataFrame, percent:
     known = written(rows.join(places.select("_id", "rep", "component", "n"), "_id").select("_group", "rep", "component", "n").dropDuplicates(["_group", "rep"]), "members")
     mixed = known.groupBy("_group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi").select("_group", "m")
     mixed = written(mixed, "mixed")
-    own = known.join(mixed, "_group").join(nodes.where("_id = rep").select("rep", "bits").dropDuplicates(["rep"]), "rep")
+    shared = known.join(mixed, "_group")
+    # a pair is told in the least of the groups it shares, and in no other
+    of_rep = shared.groupBy("rep").agg(F.collect_list("_group").alias("_groups"))
+    own = shared.join(nodes.where("_id = rep").select("rep", "bits").dropDuplicates(["rep"]), "rep").join(written(of_rep, "groups-of"), "rep")
     # small groups are one tile; in others size bands are a factor of 100 / percent wide: sets meet within a band and with the next one
     tiles = F.ceil(F.col("m") / TILE).cast("bigint")
     band = F.when(tiles > 1, F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))).otherwise(0)
@@ -280,7 +283,7 @@ def across(groups: DataFrame, nodes: DataFrame, components: DataFrame, percent:
     def tile(rows: list[tuple], same: bool) -> Iterator[np.ndarray]:
         rows.sort(key=lambda r: r[6])
         at, rep, comp, n = (np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5, 6))
-        size = np.array([len(r[7]) for r in rows])
+        size, within = np.array([len(r[7]) for r in rows]), [frozenset(r[8]) for r in rows]
         # sets from the first of a signature's size on, all folded to it
         of = {k: (first := int(np.searchsorted(size, k)), np.stack([folded(r[7], k) for r in rows[first:]])) for k in np.unique(size).tolist()}
         for i in range(len(rep) - 1):
@@ -293,6 +296,7 @@ def across(groups: DataFrame, nodes: DataFrame, components: DataFrame, percent:
                 j, differ = j[keep], differ[keep]
                 if nearest and len(j):
                     j = j[[np.argmin(differ / (n[j] + n[i]))]]
+                j = j[[min(within[i] & within[k]) == rows[0][0] for k in j.tolist()]] if len(j) else j
                 yield np.stack([np.minimum(rep[j], rep[i]), np.maximum(rep[j], rep[i])], 1)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +312,7 @@ def across(groups: DataFrame, nodes: DataFrame, components: DataFrame, percent:
             yield batch(out, [*map(list, zip(*found, strict=True))])
 
     out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    columns = meet.select("_group", "_x", "_y", "_tile", "rep", "component", "n", "bits")
+    columns = meet.select("_group", "_x", "_y", "_tile", "rep", "component", "n", "bits", "_groups")
     tiled = columns.repartition("_group", "_x", "_y").sortWithinPartitions("_group", "_x", "_y")
     return tiled.mapInArrow(work, "a bigint, b bigint").dropDuplicates(["a", "b"])
 
