@@ -136,7 +136,8 @@ def decode_ids(ids: Iterable[int], table: Pieces) -> str:
 
 def lattice(words: DataFrame, table: Pieces, spark: SparkSession) -> DataFrame:
     """``words`` (word, and columns that come along) with ``edges``: array of struct s, e (places in the
-    word), neg (the score's negative), id; in order of neg, then s. Words without an edge go missing."""
+    word), neg (the score's negative), id; in order of neg, then s; and ``joining``: those of more than one character.
+    Words without an edge go missing."""
     if len(table.pieces) > MOST_PIECES:
         raise ValueError(f"the piece table has over {MOST_PIECES} rows")
     known = spark.createDataFrame(list(table.pieces), "piece string, id int, score double")
@@ -145,7 +146,8 @@ def lattice(words: DataFrame, table: Pieces, spark: SparkSession) -> DataFrame:
     ends = starts.select("*", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("s") + table.longest, F.length("word")))).alias("e"))
     cut = ends.withColumn("piece", F.substring("word", F.col("s") + 1, F.col("e") - F.col("s")))
     edge = F.struct((-F.col("score")).alias("neg"), "s", "e", "id")
-    return cut.join(F.broadcast(known), "piece").groupBy("word").agg(*(F.first(c).alias(c) for c in rest), F.array_sort(F.collect_list(edge)).alias("edges"))
+    found = cut.join(F.broadcast(known), "piece").groupBy("word").agg(*(F.first(c).alias(c) for c in rest), F.array_sort(F.collect_list(edge)).alias("edges"))
+    return found.withColumn("joining", F.filter("edges", lambda d: d.e - d.s > 1))
 
 
 def _byte_ids(char: Column, table: Pieces) -> Column:
@@ -157,18 +159,22 @@ def _byte_ids(char: Column, table: Pieces) -> Column:
 
 
 def folded(table: Pieces) -> Column:
-    """ids (array of int) of the columns word and edges."""
+    """ids (array of int) of the columns word, edges and joining."""
     word, edges, n = F.col("word"), F.col("edges"), F.length("word")
     if table.merges:
+        joining = F.col("joining")
+
         def step(end: Column, _: Column) -> Column:
             # an edge joins the symbol at its start with the next one, if that ends where the edge does
-            joins = F.filter(edges, lambda d: (F.get(end, d.s) > 0) & (F.get(end, d.s) < d.e) & (F.get(end, F.get(end, d.s)) == d.e))
+            joins = F.filter(joining, lambda d: (F.get(end, d.s) > 0) & (F.get(end, d.s) < d.e) & (F.get(end, F.get(end, d.s)) == d.e))
             first = F.slice(joins, 1, 1)
             done = F.transform(first, lambda d: F.transform(end, lambda v, i: F.when(i == d.s, d.e).when(i == F.get(end, d.s), -1).otherwise(v)))
             return F.coalesce(F.get(done, F.lit(0)), end)
 
         alone = F.transform(F.sequence(F.lit(1), n), lambda i: i)
-        ends = F.when(n > 1, F.aggregate(F.sequence(F.lit(2), n), alone, step)).otherwise(alone)
+        # no word takes more steps than it has edges that join
+        steps = F.least(n - 1, F.size(joining))
+        ends = F.when(steps > 0, F.aggregate(F.sequence(F.lit(1), steps), alone, step)).otherwise(alone)
         spans = F.filter(F.transform(ends, lambda e, s: F.struct(s.alias("s"), e.alias("e"))), lambda x: x.e > 0)
     else:
         worst = min((s for _, _, s in table.pieces), default=0.0) - UNKNOWN
