@@ -49,9 +49,13 @@ RULES = (
     Rule("few symbols", "n_symbols", "n_words", high=10),
     Rule("some stop words", "n_stop_words", low=2),
     Rule("share of stop words", "n_stop_words", "n_words", low=2),
-    Rule("few repeated lines", "n_dup_lines", "n_lines", high=30),
+    # by characters, not by lines: a header that is also the footer is much of few lines, but little of a text
+    Rule("few repeated lines", "dup_line_chars", "line_chars", high=30),
 )
 
+#: The rules as the SQL twin states them: it still counts repeated lines, so its ``kept`` differs there.
+SQL_RULES = (*RULES[:-1], Rule("few repeated lines", "n_dup_lines", "n_lines", high=30))
+
 
 def _broken(rule: Rule) -> Column:
     """True where the rule is broken; never null, as no measure is."""
@@ -69,7 +73,7 @@ def any_broken(rules: tuple[Rule, ...]) -> Column:
 
 def measure(docs: DataFrame, text: str = "text", prefix: str = "_q") -> DataFrame:
     """``docs`` with one column more, the struct ``{prefix}``: n_words, word_chars, n_symbols,
-    n_lines, n_dup_lines, n_stop_words, n_repeat_words (all long).
+    n_lines, n_dup_lines, line_chars, dup_line_chars, n_stop_words, n_repeat_words (all long).
 
     Lines are parted by ``\\n`` and count if they hold a word. A word repeats if it lies in a window
     of three words that the text holds twice or more. A null text counts as an empty one: every
@@ -112,6 +116,8 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "_q") -> DataFram
                 n(F.length(whole) - F.length(F.translate(whole, SYMBOLS, "")), "n_symbols"),
                 n(F.size(f"{prefix}_lines"), "n_lines"),
                 n(F.size(f"{prefix}_lines") - F.size(F.array_distinct(f"{prefix}_lines")), "n_dup_lines"),
+                n(F.length(F.array_join(f"{prefix}_lines", "")), "line_chars"),
+                n(F.length(F.array_join(f"{prefix}_lines", "")) - F.length(F.array_join(F.array_distinct(f"{prefix}_lines"), "")), "dup_line_chars"),
                 n(F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))), "n_stop_words"),
                 n(F.coalesce(covered, F.lit(0)), "n_repeat_words"),
             ),
@@ -121,11 +127,11 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "_q") -> DataFram
 
 
 def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The columns of ``docs`` and ``_quality``: a struct of every measure, ``base_failed`` and
+    """The columns of ``docs`` and ``_quality``: a struct of MEASURES, ``base_failed`` and
     ``kept`` (false if a base rule or one of ``rules`` is broken). One row for each row of ``docs``:
     repeated rows and ids stay apart, other columns pass through. Null and empty texts hold no word,
     so they fail. Columns named ``_q...`` or ``_quality`` must not be in ``docs``."""
-    flat = [F.col(f"_q.{x}").alias(x) for x in MEASURES]
+    flat = [F.col(f"_q.{x}").alias(x) for x in (*MEASURES, *INNER)]
     measured = measure(docs.select(F.struct("*").alias("_row")).withColumn("_text", F.col(f"_row.`{text}`")), "_text")
     judged = measured.select("_row", *flat).withColumns({"base_failed": any_broken(BASE_RULES), "_method": any_broken(rules)})
     verdict = F.struct(*MEASURES, "base_failed", (~F.col("base_failed") & ~F.col("_method")).alias("kept"))
@@ -133,6 +139,8 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words", "n_repeat_words")
+#: Measures that rules read and verdicts don't show.
+INNER = ("line_chars", "dup_line_chars")
 
 
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -174,6 +182,6 @@ QUERIES = {"op10_quality_rules": op10_quality_rules}
 ORACLE_SQL = {
     "op10_quality_rules": f"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({_sql_bounds(BASE_RULES)}) AS base_failed,
-  NOT ({_sql_bounds(BASE_RULES)}) AND NOT ({_sql_bounds(RULES)}) AS kept
+  NOT ({_sql_bounds(BASE_RULES)}) AND NOT ({_sql_bounds(SQL_RULES)}) AS kept
 FROM ({MEASURED_SQL})"""
 }

@@ -64,6 +64,14 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert quality_rules.keep(frame(spark, [clean]).limit(0)).count() == 0
 
 
+def test_quality_keeps_prose_between_boilerplate(spark):
+    rng = random.Random(2)
+    part = lambda n: " ".join("the" if i % 9 == 0 else "".join(rng.choices("abcdefghij", k=5)) for i in range(n))
+    line = "read more at example.org"
+    texts = [f"{line}\n{part(80)}\n{line}", "\n".join([line, part(40), line, part(40), line, part(40)]), "\n".join([part(30)] * 2 + [part(20)])]
+    assert sorted(r.doc_id for r in quality_rules.keep(frame(spark, texts)).collect()) == [0, 1]
+
+
 # URL filters
 
 
