@@ -16,6 +16,8 @@ from stintgraph.functions.names import normal_state_of
 
 #: How many rows an offset without a limit gives.
 OPEN_PAGE = 1000
+#: Shares of the records that a mention without names and state meets.
+SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -59,7 +61,7 @@ def count_by_state(employment: DataFrame) -> DataFrame:
 
 
 def _keyed(mentions: DataFrame) -> DataFrame:
-    first, last = F.lower("mention_first_name"), F.lower("mention_last_name")
+    first, last = (F.coalesce(F.lower(c), F.lit("")) for c in ("mention_first_name", "mention_last_name"))
     return mentions.withColumns({"m_fn": first, "m_ln": last, "m_fn2": F.substring(first, 1, 2), "m_ln2": F.substring(last, 1, 2)})
 
 
@@ -94,13 +96,26 @@ def name_uniqueness(names: DataFrame, employment: DataFrame) -> DataFrame:
 def candidate_nets(mentions: DataFrame, employment: DataFrame) -> DataFrame:
     """Both nets, one row per mention, record and net (1 or 2): the first two letters of the first name
     and the whole last name; or the whole first name and two letters of the last. Within the state,
-    where the mention has one. Each net is an equi-join of its own: as one condition they would be
-    compared row by row."""
+    where the mention has one. A name of fewer than two letters asks for no prefix, a blank one for
+    nothing at all. Each net is equi-joins of its own: as one condition they would be compared row by row."""
     m, e = _keyed(mentions.withColumnRenamed("state", "m_state")), employment
+    f, last = F.length("m_fn"), F.length("m_ln")
+    here = e.state == m.m_state
+    anywhere = m.m_state.isNull() | here
+    salt = e.withColumn("_salt", F.pmod(F.xxhash64("rec_ord"), F.lit(SALTS)).cast("int"))
     nets = []
-    for net, fits in ((1, (e.fn2 == m.m_fn2) & (e.ln_lc == m.m_ln)), (2, (e.fn_lc == m.m_fn) & (e.ln2 == m.m_ln2))):
-        inside = m.where("m_state is not null").join(e, fits & (e.state == m.m_state))
-        nets += [x.withColumn("net", F.lit(net)) for x in (inside, m.where("m_state is null").join(e, fits))]
+    for net, asks, prefix, named, whole in ((1, f > 1, e.fn2 == m.m_fn2, last > 0, e.ln_lc == m.m_ln), (2, last > 1, e.ln2 == m.m_ln2, f > 0, e.fn_lc == m.m_fn)):
+        usual, rest = m.where(asks & named), m.where(~asks & ~named)
+        parts = [
+            usual.where("m_state is not null").join(e, prefix & whole & here),
+            usual.where("m_state is null").join(e, prefix & whole),
+            m.where(~asks & named).join(e, whole & anywhere),
+            m.where(asks & ~named).join(e, prefix & anywhere),
+            rest.where("m_state is not null").join(e, here),
+            # neither names nor a state: every record, by dealt shares of them
+            rest.where("m_state is null").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).join(salt, "_salt").drop("_salt"),
+        ]
+        nets += [x.withColumn("net", F.lit(net)) for x in parts]
     return reduce(DataFrame.unionByName, nets)
 
 

@@ -172,6 +172,27 @@ def test_blank_first_name_stands_for_z(spark):
     assert [r.post_person_nbr for r in net.select("*").where(candidates.name_net()).collect()] in ([], ["P1"])
 
 
+def test_short_names_ask_for_less(spark):
+    rows = [("P0", "Z", "Lunger", "california"), ("P1", "Zed", "Lunger", "california"), ("P2", "Zed", "Lunger", "texas"), ("P3", "J", "Smith", "california"),
+            ("P4", "John", "Smith", "california"), ("P5", "Scott", "Smi", "texas"), ("P6", "Scott", "Lee", "california"), ("P7", "", "", "california")]
+    e = emp(spark, *(stint(p, a, b, state=s) for p, a, b, s in rows))
+    asked = [("", "LUNGER", "california"), ("J", "SMITH", "california"), ("J", "SMITH", None), ("SCOTT", "S", "california"), ("SCOTT", "S", None),
+             ("", "LUNGER", None), (None, None, "texas"), ("", "", None), ("SCOTT", "", "texas"), ("J", "S", "california"), ("SCOTT", "LEE", "california")]
+    m = men(spark, *((f"M{i}", *x, "A", "", 2015) for i, x in enumerate(asked)))
+    found = {(r.mention_id, r.net, r.post_person_nbr) for r in search.candidate_nets(m, e).collect()}
+
+    def fits(net, a, b, s, first, last, state):
+        a, b, first, last = (a or "").lower(), (b or "").lower(), first.lower(), last.lower()
+        one = (len(a) < 2 or first[:2] == a[:2]) and (not b or last == b)
+        two = (not a or first == a) and (len(b) < 2 or last[:2] == b[:2])
+        return (s is None or s == state) and (one if net == 1 else two)
+
+    want = {(i, net, p) for i, (a, b, s) in enumerate(asked) for net in (1, 2) for p, first, last, state in rows if fits(net, a, b, s, first, last, state)}
+    assert found == want and {p for i, _, p in found if i == 1} >= {"P3", "P4"}
+    net = search.candidate_net(m.where("mention_id = 0"), e)
+    assert [r.post_person_nbr for r in net.where(candidates.name_net()).collect()] == ["P0"]
+
+
 def verdicts(spark, rows, mention, common=(), **more):
     common = spark.createDataFrame([(c,) for c in common], "last_name string")
     v, c = resolve.resolve(men(spark, mention), emp(spark, *rows), common, AS_OF, **more)
