@@ -28,8 +28,8 @@ STRICT = 0.95
 class Data:
     """The views a query reads, each made when first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, every: bool = False) -> None:
+        self.spark, self.sf, self.every = spark, sf_dir, every
 
     def table(self, name: str) -> DataFrame:
         return tables.table(self.spark, self.sf, name)
@@ -48,7 +48,8 @@ class Data:
 
     @property
     def stated(self) -> DataFrame:
-        return self.m.where("state is not null")
+        """Mentions that pass stage 0's first gate, "State present"; with ``every`` all of them."""
+        return self.m if self.every else self.m.where("state is not null")
 
     def candidates(self) -> DataFrame:
         return candidates.select_candidates(search.candidate_net(self.stated, self.e), AS_OF)
@@ -75,9 +76,9 @@ def _text(c: str) -> Column:
     return F.array_join(F.transform(c, lambda g: F.concat_ws(":", g["name"], g["status"], g["detail"])), "|").alias(c)
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candidates of every mention, counted."""
-    d = Data(spark, sf_dir)
+def flagship(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
+    """Candidates of every mention, counted; none where stage 0 asks for a state, unless ``every``."""
+    d = Data(spark, sf_dir, every)
     n = d.candidates().groupBy("mention_uid").agg(F.count(F.lit(1)).alias("n_candidates"), F.countDistinct("post_person_nbr").alias("n_persons"))
     every = d.m.select("mention_uid").join(n, "mention_uid", "left")
     return every.select("mention_uid", *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_candidates", "n_persons")))
@@ -266,13 +267,29 @@ BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
 }
 
 
-def _run(build: Callable[[Data], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build(Data(spark, sf_dir))
+#: Queries over mentions with a state. Each is registered again as ``{name}_every``, over all mentions:
+#: one without a state searches all states.
+STATED = (
+    "flagship", "officers_by_name", "same_name_count", "candidate_net", "candidate_net_dedup", "batch_candidate_meta", "county_person_filter", "agency_type_detect",
+    "select_candidates", "lev_norm", "length_ratio", "jaro_winkler", "full_name_features", "score_candidates", "threshold_filter", "exact_name_split",
+    "ambiguous_mentions", "best_match", "best_person_stints",
+)
+
+
+def _run(build: Callable[[Data], DataFrame], spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
+    return build(Data(spark, sf_dir, every))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"flagship": flagship} | {k: partial(_run, f) for k, f in BUILDERS.items()}
+    every = {"flagship": flagship} | {k: partial(_run, f) for k, f in BUILDERS.items()}
+    return every | {f"{k}_every": partial(every[k], every=True) for k in STATED}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: s for k, s in ORACLES.items() if k in BUILDERS or k == "flagship"}
+    own = {k: s for k, s in ORACLES.items() if k in BUILDERS or k == "flagship"}
+    return own | {f"{k}_every": _every_sql(own[k]) for k in STATED}
+
+
+def _every_sql(sql: str) -> str:
+    """The twin of a query over mentions with a state, over all mentions."""
+    return sql.replace("ON e.state = m.state AND", "ON (m.state IS NULL OR e.state = m.state) AND").replace(" WHERE m.state IS NOT NULL", "")

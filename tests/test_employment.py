@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from stintgraph.functions import agency, names, prepare
 from stintgraph.operators import candidates, gates, scoring, search, sync
-from stintgraph.plans import resolve
+from stintgraph.plans import registry, resolve
 from stintgraph.sources import tables
 
 AS_OF = dt.date(2024, 6, 1)
@@ -172,6 +172,19 @@ def test_blank_first_name_stands_for_z(spark):
     assert [r.post_person_nbr for r in net.select("*").where(candidates.name_net()).collect()] in ([], ["P1"])
 
 
+def test_every_mention_is_searched(spark):
+    at = "/root/testdata/sf0.001"
+    asked, sql = registry.queries(), registry.oracle_sql()
+    m = registry.Data(spark, at).m
+    bare = {r.mention_uid for r in m.where("state is null").collect()}
+    found = {r.mention_uid: r.n_candidates for r in asked["flagship_every"](spark, at).collect()}
+    own = {r.mention_uid: r.n_candidates for r in asked["flagship"](spark, at).collect()}
+    assert bare and any(found[x] for x in bare) and not any(own[x] for x in bare)
+    assert all(found[x] == own[x] for x in own.keys() - bare)
+    assert asked["batch_candidate_meta_every"](spark, at).first().total_mentions == m.count() > asked["batch_candidate_meta"](spark, at).first().total_mentions
+    assert all(sql[f"{k}_every"] != sql[k] for k in registry.STATED)
+
+
 def test_short_names_ask_for_less(spark):
     rows = [("P0", "Z", "Lunger", "california"), ("P1", "Zed", "Lunger", "california"), ("P2", "Zed", "Lunger", "texas"), ("P3", "J", "Smith", "california"),
             ("P4", "John", "Smith", "california"), ("P5", "Scott", "Smi", "texas"), ("P6", "Scott", "Lee", "california"), ("P7", "", "", "california")]
