@@ -1,6 +1,7 @@
 """N-gram Jaccard join: documents whose sets of word shingles are alike, and their components.
 
-1. Texts with equal sets form a class; only its least id goes on as a candidate of others.
+1. Texts with equal sets form a class, told by the digest of the set; keys play no part until the end,
+   so rows that repeat one are judged by their own texts.
 2. Sets are ordered rarest shingle first (counted over all documents; the order decides the cost,
    never the result). Two sets alike enough share one of their first ``n - ceil(t n) + 1`` shingles.
    So documents meet in groups by such a shingle.
@@ -23,7 +24,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stintgraph.llm.components import connected_components
@@ -55,6 +56,11 @@ def signature(hashes: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+def class_of(hashes: np.ndarray) -> int:
+    """The number of a set's class: 64 bits of its digest."""
+    return int.from_bytes(hashlib.blake2b(raw(hashes), digest_size=16).digest()[:8], "little", signed=True)
+
+
 def folded(bits: bytes, size: int) -> np.ndarray:
     """The signature as it would be with ``size`` bytes, in words."""
     words = np.frombuffer(bits, U64)
@@ -83,8 +89,8 @@ def ordered_prefix(hashes: np.ndarray, frequent: np.ndarray, ranks: np.ndarray,
 
 
 def described(docs: DataFrame, width: int) -> DataFrame:
-    """kind 0: _id, n, whole (hash of the set), bits; kind 1: a frequent shingle's hash in ``_id`` and its count in ``n``."""
-    schema = pa.schema([("kind", pa.int32()), ("_id", pa.int64()), ("n", pa.int64()), ("whole", pa.binary()), ("bits", pa.binary())])
+    """kind 0: _id, n, whole (digest of the set), _class, bits; kind 1: a frequent shingle's hash in ``_id`` and its count in ``n``."""
+    schema = pa.schema([("kind", pa.int32()), ("_id", pa.int64()), ("n", pa.int64()), ("whole", pa.binary()), ("_class", pa.int64()), ("bits", pa.binary())])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -93,11 +99,11 @@ def described(docs: DataFrame, width: int) -> DataFrame:
             values, n = np.unique(np.concatenate(held), return_counts=True)
             often = n >= FREQUENT
             k = int(often.sum())
-            return batch(schema, [[1] * k, values[often].view(np.int64), n[often], [None] * k, [None] * k])
+            return batch(schema, [[1] * k, values[often].view(np.int64), n[often], *[[None] * k] * 3])
 
         for b in portions(batches):
             sets = shingle_sets(texts_of(b.column(1)), width)
-            yield batch(schema, [[0] * len(sets), b.column(0), [len(s) for s in sets], [hashlib.blake2b(raw(s), digest_size=16).digest() for s in sets], [signature(s) for s in sets]])
+            yield batch(schema, [[0] * len(sets), b.column(0), [len(s) for s in sets], [hashlib.blake2b(raw(s), digest_size=16).digest() for s in sets], [class_of(s) for s in sets], [signature(s) for s in sets]])
             held += sets
             if sum(map(len, held)) >= FLUSH:
                 yield counted()
@@ -105,7 +111,7 @@ def described(docs: DataFrame, width: int) -> DataFrame:
         if held:
             yield counted()
 
-    return docs.mapInArrow(work, "kind int, _id bigint, n bigint, whole binary, bits binary")
+    return docs.mapInArrow(work, "kind int, _id bigint, n bigint, whole binary, _class bigint, bits binary")
 
 
 def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -117,13 +123,13 @@ def frequent_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def meeting_groups(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: int, percent: int, buckets: int) -> DataFrame:
-    """kind 0: a pair (a, b) of ids, the smallest set of a size band of a group and another in it;
-    kind 1: the ids of a group of three or more, as one binary, the same group once per bucket."""
+    """kind 0: a pair (a, b) of classes, the smallest set of a size band of a group and another in it;
+    kind 1: the classes of a group of three or more, as one binary, the same group once per bucket."""
     spread = docs.sparkSession.sparkContext.broadcast(frequent)
     entry = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("ids", pa.binary()), ("sizes", pa.binary())])
 
     def scatter(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, tuple[np.ndarray, int, int]] = {}
+        held: dict[int, tuple[np.ndarray, int, int]] = {}
         total = 0
 
         def dealt() -> pa.RecordBatch:
@@ -141,9 +147,9 @@ def meeting_groups(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], wid
             for doc_id, s in zip(b.column(0).to_pylist(), shingle_sets(texts_of(b.column(1)), width), strict=True):
                 if not len(s) or doc_id is None:
                     continue
-                key = hashlib.blake2b(raw(s), digest_size=16).digest()
+                key = class_of(s)
                 if key not in held:
-                    held[key] = (ordered_prefix(s, *spread.value, percent), doc_id, len(s))
+                    held[key] = (ordered_prefix(s, *spread.value, percent), key, len(s))
                     total += len(held[key][0])
             if total >= FLUSH:
                 yield dealt()
@@ -164,6 +170,10 @@ def meeting_groups(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], wid
         h, ids, sizes = map(np.concatenate, columns)
         order = np.lexsort((ids, sizes, h))
         h, ids, sizes = h[order], ids[order], sizes[order].astype(np.int64)
+        # a class comes once from every portion that holds it
+        once = np.ones(len(h), bool)
+        once[1:] = (h[1:] != h[:-1]) | (ids[1:] != ids[:-1])
+        h, ids, sizes = h[once], ids[once], sizes[once]
         fresh = np.ones(len(h), bool)
         fresh[1:] = h[1:] != h[:-1]
         first = np.flatnonzero(fresh)
@@ -208,7 +218,7 @@ def overlap_allowed(differ: np.ndarray, sizes: np.ndarray, percent: int) -> np.n
 
 
 def allowed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of different class representatives that sizes and signatures allow."""
+    """Pairs (a < b) of classes that sizes and signatures allow."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -218,22 +228,22 @@ def allowed(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 keep = overlap_allowed(np.array(differ), b.column(4).to_numpy() + b.column(5).to_numpy(), percent)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep))
 
-    of = lambda k: nodes.select(F.col("_id").alias(k), F.col("rep").alias(f"{k}_rep"), F.col("n").alias(f"{k}_n"))
-    met = pairs.join(of("a"), "a").join(of("b"), "b").where("a_rep <> b_rep")
-    met = met.where(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
-    reps = met.select(F.least("a_rep", "b_rep").alias("a"), F.greatest("a_rep", "b_rep").alias("b")).dropDuplicates()
-    side = lambda k: nodes.where("_id = rep").select(F.col("_id").alias(k), F.col("bits").alias(f"{k}_bits"), F.col("n").alias(f"{k}_n")).dropDuplicates([k])
+    of = lambda k: nodes.select(F.col("_class").alias(k), F.col("n").alias(f"{k}_n"))
+    met = pairs.join(of("a"), "a").join(of("b"), "b")
+    reps = met.where(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent).select("a", "b")
+    side = lambda k: nodes.select(F.col("_class").alias(k), F.col("bits").alias(f"{k}_bits"), F.col("n").alias(f"{k}_n"))
     signed = written(reps, "pairs").join(side("a"), "a").join(side("b"), "b")
     return signed.select("a", "b", "a_bits", "b_bits", "a_n", "b_n").mapInArrow(work, "a bigint, b bigint")
 
 
-def linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of ``pairs`` whose sets are alike, by exact intersection."""
+def linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of ``pairs`` whose sets are alike, by exact intersection. A class' set is made of a row
+    of its least key; other texts of that key are left out again."""
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in portions(batches):
-            found = [raw(s) for s in shingle_sets(texts_of(b.column(1)), width)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], names=["_id", "hashes"])
+            found = shingle_sets(texts_of(b.column(1)), width)
+            yield pa.RecordBatch.from_arrays([pa.array(map(class_of, found), pa.int64()), pa.array(map(raw, found), pa.binary())], names=["_class", "hashes"])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in portions(batches):
@@ -244,34 +254,37 @@ def linked(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataF
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).dropDuplicates()
-    arrays = written(docs.join(wanted, "_id", "left_semi").mapInArrow(sets, "_id bigint, hashes binary").dropDuplicates(["_id"]), "sets")
-    side = lambda k: arrays.select(F.col("_id").alias(k), F.col("hashes").alias(f"{k}_hashes"))
+    ends = pairs.select(F.col("a").alias("_class")).unionByName(pairs.select(F.col("b").alias("_class"))).dropDuplicates()
+    wanted = written(nodes.select("_class", "least").join(ends, "_class"), "wanted")
+    own = docs.join(wanted.select(F.col("least").alias("_id")).dropDuplicates(), "_id", "left_semi").select("_id", "_text")
+    found = own.mapInArrow(sets, "_class bigint, hashes binary").join(wanted.select("_class"), "_class", "left_semi")
+    arrays = written(found.dropDuplicates(["_class"]), "sets")
+    side = lambda k: arrays.select(F.col("_class").alias(k), F.col("hashes").alias(f"{k}_hashes"))
     met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_hashes", "b_hashes")
     return met.mapInArrow(work, "a bigint, b bigint")
 
 
 def across(groups: DataFrame, nodes: DataFrame, components: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
     """Pairs of the groups' members in different components that sizes and signatures allow; with
-    ``nearest`` only each member's most alike by signature. A group's representatives are cut into
+    ``nearest`` only each member's most alike by signature. A group's classes are cut into
     size bands and those into tiles of TILE at most on average; a task gets two tiles."""
-    places = nodes.join(components.withColumnsRenamed({"node": "rep"}), "rep", "left").select("_id", "rep", "n", "bits", F.coalesce("component", "rep").alias("component"))
+    places = nodes.select(F.col("_class").alias("rep"), "n").join(components.withColumnsRenamed({"node": "rep"}), "rep", "left").select("rep", "n", F.coalesce("component", "rep").alias("component"))
     listed = groups.dropDuplicates(["members"]).withColumn("_group", F.xxhash64("members"))
 
     def members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for g, m in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = np.frombuffer(m, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), g)), pa.array(ids)], names=["_group", "_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), g)), pa.array(ids)], names=["_group", "rep"])
 
-    rows = listed.select("_group", "members").mapInArrow(members, "_group bigint, _id bigint")
-    known = written(rows.join(places.select("_id", "rep", "component", "n"), "_id").select("_group", "rep", "component", "n").dropDuplicates(["_group", "rep"]), "members")
+    rows = listed.select("_group", "members").mapInArrow(members, "_group bigint, rep bigint")
+    known = written(rows.join(places, "rep").select("_group", "rep", "component", "n"), "members")
     mixed = known.groupBy("_group").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo <> hi").select("_group", "m")
     mixed = written(mixed, "mixed")
     shared = known.join(mixed, "_group")
     # a pair is told in the least of the groups it shares, and in no other
     of_rep = shared.groupBy("rep").agg(F.collect_list("_group").alias("_groups"))
-    own = shared.join(nodes.where("_id = rep").select("rep", "bits").dropDuplicates(["rep"]), "rep").join(written(of_rep, "groups-of"), "rep")
+    own = shared.join(nodes.select(F.col("_class").alias("rep"), "bits"), "rep").join(written(of_rep, "groups-of"), "rep")
     # small groups are one tile; in others size bands are a factor of 100 / percent wide: sets meet within a band and with the next one
     tiles = F.ceil(F.col("m") / TILE).cast("bigint")
     band = F.when(tiles > 1, F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))).otherwise(0)
@@ -317,48 +330,76 @@ def across(groups: DataFrame, nodes: DataFrame, components: DataFrame, percent:
     return tiled.mapInArrow(work, "a bigint, b bigint").dropDuplicates(["a", "b"])
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``{key}``, n_shingles (long), component_id: for every row of ``docs`` the least key that links lead to.
-
-    Two documents link if their sets' intersection is at least ``percent`` hundredths of their union.
-    Sets without shingles (null, empty and blank texts) link with nothing, and a document without
-    links is its own component. Rows with a null key get a null component and link with nothing.
-    Of rows that repeat a key each is judged by its own text. Extra columns aren't read.
-    """
-    kind = docs.schema[key].dataType.simpleString()
+def judged(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """_id, n, _class, _component, _least: for every row of ``docs`` its key, size, class, the component's
+    number and its least key; the last two null for rows that link with nothing by themselves."""
     spark = docs.sparkSession
     given = docs.select(F.col(f"`{key}`").cast("bigint").alias("_id"), F.col(f"`{text}`").alias("_text"))
     rows = written(described(given, width), "shingles")
     frequent = frequent_shingles(rows)
-    slim = rows.where("kind = 0").drop("kind")
-    whole = slim.where("n > 0 and _id is not null")
-    classes = written(whole.groupBy("whole").agg(F.min("_id").alias("rep")), "classes")
-    nodes = written(whole.join(classes, "whole").select("_id", "rep", "n", "bits"), "nodes")
+    slim = rows.where("kind = 0").select("_id", "n", "_class")
+    whole = rows.where("kind = 0 and n > 0 and _id is not null")
+    one = F.when(F.min("whole") == F.max("whole"), F.min("_id")).otherwise(F.raise_error(F.lit("two sets share a class number")).cast("bigint"))
+    nodes = written(whole.groupBy("_class").agg(one.alias("least"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
     met = written(meeting_groups(given, frequent, width, percent, n_shuffle(spark)), "groups")
     first = written(allowed(met.where("kind = 0").select("a", "b").dropDuplicates(), nodes, percent), "pairs")
-    links = written(linked(first, given, width, percent), "alike")
+    links = written(linked(first, given, nodes, width, percent), "alike")
     components = written(connected_components(links), "components")
     tested, lists = first, met.where("kind = 1").select("members")
     for nearest in (*[True] * NEAREST_ROUNDS, False):
         pairs = written(across(lists, nodes, components, percent, nearest).join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = written(linked(pairs, given, width, percent), "alike")
+        more = written(linked(pairs, given, nodes, width, percent), "alike")
         if more.isEmpty():
             continue
         stars = components.select(F.col("node").alias("a"), F.col("component").alias("b"))
         components = written(connected_components(stars.unionByName(more)), "components")
         tested = tested.unionByName(pairs)
-    places = nodes.select("_id", "rep").dropDuplicates(["_id", "rep"]).join(components.withColumnsRenamed({"node": "rep"}), "rep", "left").select("rep", F.coalesce("component", "rep").alias("_component")).dropDuplicates(["rep"])
-    class_of = classes.join(places, "rep").select("whole", "_component")
-    out = slim.join(class_of, "whole", "left")
-    own = F.when((F.col("n") > 0) & F.col("_id").isNotNull(), F.col("_component")).otherwise(F.col("_id"))
-    return out.select(F.col("_id").cast(kind).alias(key), F.col("n").alias("n_shingles"), own.cast(kind).alias("component_id"))
+    places = nodes.select("_class", "least").join(components.withColumnsRenamed({"node": "_class", "component": "_component"}), "_class", "left")
+    places = written(places.select("_class", "least", F.coalesce("_component", "_class").alias("_component")), "places")
+    # written, so that the join with a component of very many classes can be split
+    least = written(places.groupBy("_component").agg(F.min("least").alias("_least")), "least")
+    told = places.select("_class", "_component").join(least, "_component")
+    linking = (F.col("n") > 0) & F.col("_id").isNotNull()
+    found = slim.join(written(told, "told"), "_class", "left")
+    return found.select("_id", "n", "_class", *(F.when(linking, F.col(c)).alias(c) for c in ("_component", "_least")))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``{key}``, n_shingles (long), component_id: for every row of ``docs`` the least key that links lead to.
+
+    Two documents link if their sets' intersection is at least ``percent`` hundredths of their union.
+    Sets without shingles (null, empty and blank texts) link with nothing, and a document without
+    links is its own component. Rows with a null key get a null component and link with nothing.
+    Of rows that repeat a key each is judged by its own text. Extra columns aren't read.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+    found = judged(docs, key, text, width, percent)
+    return found.select(F.col("_id").cast(kind).alias(key), F.col("n").alias("n_shingles"), F.coalesce("_least", "_id").cast(kind).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that are the least key of their component (and those with a null key)."""
-    found = near_duplicates(docs, key, text, width, percent)
-    others = found.where(F.col(key) != F.col("component_id")).select(key).dropDuplicates()
-    return docs.join(others, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    """One row of each component, of its least key (and all rows with a null key or without shingles).
+    Of several such rows that with the least class stays, then the one with the least text."""
+
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in portions(batches):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(map(class_of, shingle_sets(texts_of(b.column(1)), width)), pa.int64())], names=["_row", "_text", "_class"])
+
+    found = written(judged(docs, key, text, width, percent), "judged")
+    linking = found.where("_component is not null")
+    others = linking.where("_id <> _least").select("_id").dropDuplicates()
+    repeated = written(linking.groupBy("_id").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("_id"), "repeated")
+    kept = linking.where("_id = _least").groupBy("_component").agg(F.min(F.struct("_id", "_class")).alias("k")).select("k._id", "k._class")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(f"`{text}`").alias("_text"), F.col(f"`{key}`").cast("bigint").alias("_id"))
+    single = rows.join(repeated, "_id", "left_anti").join(others, "_id", "left_anti").select("_row")
+    # where a key stands for several rows, the row's own text decides
+    many = rows.join(repeated, "_id", "left_semi")
+    schema = many.select("_row", "_text").schema.add("_class", "long")
+    classed = many.select("_row", "_text").mapInArrow(sets, schema).withColumn("_id", F.col(f"_row.`{key}`").cast("bigint"))
+    order = Window.partitionBy("_id", "_class").orderBy("_text")
+    own = classed.join(kept, ["_id", "_class"], "left_semi").withColumn("_k", F.row_number().over(order)).where("_k = 1").select("_row")
+    none = classed.where(F.col("_class") == class_of(np.empty(0, U64))).select("_row")
+    return single.unionByName(own).unionByName(none).select("_row.*")
 
 
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -363,6 +363,24 @@ def test_jaccard_join(spark, monkeypatch):
     assert jaccard_join.near_duplicates(frame(spark, ["a"]).limit(0)).count() == 0
 
 
+def test_repeated_keys_go_by_their_own_texts(spark):
+    rng = random.Random(21)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    # 1: the same row twice; 2: two texts, of which one is near to that of 1; 3: near to the other text of 2; 7: three texts that link
+    rows = [(1, a), (1, a), (2, a + " end"), (2, b), (3, b + " end"), (4, c), (5, prose(rng, 50)), (5, ""), (5, ""), (6, None)]
+    d = prose(rng, 70)
+    rows += [(7, d), (7, d + " end"), (7, d)]
+    df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], DOCS).repartition(3)
+    got = Counter((r.doc_id, r.component_id) for r in jaccard_join.near_duplicates(df).collect())
+    assert got == {(1, 1): 2, (2, 1): 1, (2, 2): 1, (3, 2): 1, (4, 4): 1, (5, 5): 3, (6, 6): 1, (7, 7): 3}
+    kept = jaccard_join.keep_one(df)
+    assert kept.columns == df.columns
+    left = Counter((r.doc_id, r.text) for r in kept.collect())
+    seventh = [k for k in left if k[0] == 7]
+    assert len(seventh) == 1 and left.pop(seventh[0]) == 1
+    assert left == {(1, a): 1, (2, b): 1, (4, c): 1, rows[6]: 1, (5, ""): 2, (6, None): 1}
+
+
 def test_null_keys_link_with_nothing(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "a b c d e f"), (3, "a b c d e f")], "doc_id bigint, text string")
     assert sorted(str(r.component_id) for r in jaccard_join.near_duplicates(df).collect()) == ["3", "None", "None"] and jaccard_join.keep_one(df).count() == 3
