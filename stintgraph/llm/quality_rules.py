@@ -135,7 +135,8 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
     measured = measure(docs.select(F.struct("*").alias("_row")).withColumn("_text", F.col(f"_row.`{text}`")), "_text")
     judged = measured.select("_row", *flat).withColumns({"base_failed": any_broken(BASE_RULES), "_method": any_broken(rules)})
     verdict = F.struct(*MEASURES, "base_failed", (~F.col("base_failed") & ~F.col("_method")).alias("kept"))
-    return judged.select("_row.*", verdict.alias("_quality"))
+    # one verdict a row, through a generator: no filter on it moves below, where it would stand over copies of every measure
+    return judged.select("_row", F.explode_outer(F.array(verdict)).alias("_quality")).select("_row.*", "_quality")
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words", "n_repeat_words")
