@@ -31,12 +31,25 @@ def is_le(name: Column) -> Column:
     return F.coalesce(_any(F.lower(name), LE), F.lit(False))
 
 
+#: A value of a list as text: quoted, or a bare word or number.
+_ITEM = r"""'(?:[^'\\\n]|\\.)*'|"(?:[^"\\\n]|\\.)*"|None|True|False|-?\d+(?:\.\d*)?"""
+_LIST = rf"^\s*\[\s*(?:(?:{_ITEM})\s*(?:,\s*(?:{_ITEM})\s*)*,?\s*)?\]\s*$"
+
+
+def _item(x: Column) -> Column:
+    """The text of an item; null for those that count as nothing."""
+    quoted = x.startswith("'") | x.startswith('"')
+    inner = F.regexp_replace(F.substring(x, 2, F.length(x) - 2), r"\\(['\"\\])", "$1")
+    return F.when(quoted, inner).when(~x.isin("None", "False") & ~x.rlike(r"^-?0+(\.0*)?$"), x)
+
+
 def to_check(agency: Column, mentioned: Column) -> Column:
-    """The source agency and the mentioned ones: a list as text is taken apart, any other text is one
-    agency; blank text and null or empty entries are left out."""
+    """The source agency and the mentioned ones: a list as text is taken apart (a comma may end it, words
+    within quotes stay as they are), any other text is one agency; blank text and null or empty entries
+    are left out."""
     text = F.when(strip(mentioned) != "", mentioned)
-    listed = F.from_json(F.regexp_replace(text, r"\bNone\b", "null"), "array<string>")
-    named = F.when(text.isNotNull(), F.coalesce(listed, F.array(text)))
+    listed = F.transform(F.regexp_extract_all(text, F.lit(_ITEM), F.lit(0)), _item)
+    named = F.when(text.rlike(_LIST), listed).when(text.isNotNull(), F.array(text))
     every = F.concat(F.array(agency), F.coalesce(named, F.array().cast("array<string>")))
     return F.filter(every, lambda x: x.isNotNull() & (x != ""))
 

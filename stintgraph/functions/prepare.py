@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stintgraph.functions.names import strip
 
+#: The fields of an id in their order, and forms of dates, the first that reads one counts.
 UID_FIELDS = ("first_name", "last_name", "provisional_case_name", "incident_year", "incident_month", "incident_date", "source_agency")
 DATE_FORMATS = ("yyyy-M-d", "M/d/yyyy", "yyyy/M/d", "M-d-yyyy", "yyyy")
 
@@ -45,14 +46,17 @@ def utc_timestamp(c: Column) -> Column:
 
 
 def built_mentions(df: DataFrame, default_state: str | None = None) -> DataFrame:
-    """Mentions in their fixed form, one per row with an incident year, numbered by ``mention_id``."""
+    """Mentions in their fixed form, one per row with an incident year. ``mention_id`` is made of the row itself
+    and its number among equal rows, so it is the same however the rows are dealt out."""
     df = with_incident_year(df)
+    same = F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in df.columns])
+    again = F.row_number().over(Window.partitionBy(same).orderBy(F.lit(1)))
     has = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in df.columns else F.lit("")
     blank = lambda c: F.when(c != "", c)
     year = F.col("incident_year").try_cast("double").cast("int")
     rows = df.where(F.coalesce(strip(F.col("incident_year").cast("string")), F.lit("")) != "")
     return rows.select(
-        F.monotonically_increasing_id().alias("mention_id"),
+        F.xxhash64(same, again).alias("mention_id"),
         F.coalesce(blank(has("officer_uid")), officer_uid(df)).alias("mention_uid"),
         F.upper(has("first_name")).alias("mention_first_name"),
         blank(F.upper(has("middle_name"))).alias("mention_middle_name"),
@@ -68,5 +72,12 @@ def built_mentions(df: DataFrame, default_state: str | None = None) -> DataFrame
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int) -> DataFrame:
-    """Exactly n rows (all, if fewer), drawn by a seed."""
-    return df.orderBy(F.rand(seed)).limit(n)
+    """Exactly n rows (all, if fewer), drawn by a seed: the least of the digests of seed and row, so that a
+    seed gives the same rows however they are dealt out."""
+    whole = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *whole)), *whole).limit(n)
+
+
+def shown_date(c: Column) -> Column:
+    """The day of a date, time or ISO text; empty where there is none."""
+    return F.coalesce(F.substring(c.cast("string"), 1, 10), F.lit(""))

@@ -6,7 +6,7 @@ total order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +16,8 @@ from stintgraph.functions.names import normal_state_of
 
 #: How many rows an offset without a limit gives.
 OPEN_PAGE = 1000
+#: Rows that a search for people to look at gives, unless asked for others.
+SHOWN = 25
 #: Shares of the records that a mention without names and state meets.
 SALTS = 64
 
@@ -56,6 +58,13 @@ def search_summary(employment: DataFrame, q: Search) -> DataFrame:
     return search(employment, q).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("post_person_nbr").alias("n_persons"))
 
 
+def shown(employment: DataFrame, q: Search) -> DataFrame:
+    """The first SHOWN rows (or ``limit``) of a search that names a person or an agency."""
+    if not (q.first_name or q.last_name or q.agency):
+        raise ValueError("a name or an agency is needed")
+    return search(employment, replace(q, limit=q.limit or SHOWN))
+
+
 def count_by_state(employment: DataFrame) -> DataFrame:
     return employment.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The text columns of a stored record.
 TEXT = ("document_id", "person_nbr", "first_name", "middle_name", "last_name", "agency_name", "state", "start_date", "end_date", "separation_reason")
 UNCHANGED = "unchanged"
 
@@ -62,6 +63,19 @@ def diff(live: DataFrame, incoming: DataFrame, key: str = "fs_path", value: str
     return a.join(b, key, "full").select(key, action.alias("action"))
 
 
+def baseline(counts: DataFrame, stats: DataFrame) -> DataFrame:
+    """state, last_updated, row_count: metadata of a table that is in step already, nothing being pulled.
+    ``counts``: state, n; ``stats``: state, last_updated. States without rows count 0."""
+    return stats.join(counts, "state", "left").select("state", "last_updated", F.coalesce("n", F.lit(0)).cast("bigint").alias("row_count"))
+
+
+def resync_counts(live: DataFrame, incoming: DataFrame, key: str = "fs_path", value: str = "raw") -> DataFrame:
+    """pulled, changed (new ones included), deleted of a resync: one row. Changes nothing, so it is also its dry run."""
+    did = F.col("action")
+    told = diff(live, incoming, key, value)
+    return told.agg(F.count_if(did != "delete").alias("pulled"), F.count_if(did.isin("insert", "update")).alias("changed"), F.count_if(did == "delete").alias("deleted"))
+
+
 def merged(live: DataFrame, incoming: DataFrame, states: list[str], key: str = "fs_path", value: str = "raw") -> DataFrame:
     """The table after a resync of ``states``: their vanished rows go, new ones come, others change only
     if their document does. Deletion is confined to the states, the key is global."""
@@ -79,13 +93,26 @@ def meta_after(meta: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 def swap_in(table: DataFrame, path: str) -> str:
-    """Writes a new version beside the others and then names it current, in one small file."""
+    """Writes a new version beside the others and then names it current, in one small file more. Nothing
+    that readers know is touched: until the new name is complete they find the one before it."""
     spark = table.sparkSession
     version = f"{path}/v-{uuid.uuid4().hex}"
     table.write.partitionBy("state").parquet(version)
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path}/current")
+    number = max((n for n, _ in _names(spark, path)), default=0) + 1
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.json(f"{path}/current/{number:012d}-{uuid.uuid4().hex}")
     return version
 
 
+def _names(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and folder of every complete name, as the store itself lists them."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/current/*/_SUCCESS")
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at) or []
+    folders = [str(x.getPath().getParent().toString()) for x in found]
+    return sorted((int(f.rpartition("/")[2].split("-")[0]), f) for f in folders)
+
+
 def current(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(spark.read.schema("version string").json(f"{path}/current").first()[0])
+    names = _names(spark, path)
+    if not names:
+        raise FileNotFoundError(f"no version is current under {path}")
+    return spark.read.parquet(spark.read.schema("version string").json(names[-1][1]).first()[0])

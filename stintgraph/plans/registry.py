@@ -16,11 +16,11 @@ from stintgraph.plans import resolve
 from stintgraph.plans.twins import ORACLES
 from stintgraph.sources import tables
 from stintgraph.sources.places import shared_dir
-from stintgraph.streaming.ingest import ingest_available
+from stintgraph.streaming.ingest import ingest_available, page_after
 
 AS_OF = dt.date(9999, 12, 31)
 #: What the demo queries ask for.
-ASKED = search.Search(first_name="al", last_name="b1", state=None)
+ASKED = search.Search(first_name="re", last_name="11", state=None)
 PAGE = search.Search(agency="police", limit=50, offset=20)
 STRICT = 0.95
 
@@ -191,6 +191,12 @@ def _merged(d: Data) -> DataFrame:
     return sync.merged(d.docs(), fresh, states).select("fs_path", "state", "raw")
 
 
+def _baseline(d: Data) -> DataFrame:
+    counts = d.docs(True).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+    stats = d.table("nation").select(F.lower("n_name").alias("state"), F.lit(dt.date(2024, 1, 2)).alias("last_updated"))
+    return sync.baseline(counts, stats).withColumn("last_updated", prepare.shown_date(F.col("last_updated")))
+
+
 def _sample(d: Data) -> DataFrame:
     return prepare.seeded_sample(d.m, 100, 7).select("mention_uid")
 
@@ -260,6 +266,12 @@ BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
     "sync_plan": _plan,
     "sync_diff": lambda d: sync.diff(d.docs(), d.docs(True)),
     "merge_result": _merged,
+    "resync_counts": lambda d: sync.resync_counts(d.docs(), d.docs(True)),
+    "baseline_meta": _baseline,
+    "page_after": lambda d: page_after(d.docs(), "d/5", 100).select("fs_path", "state"),
+    "search_shown": lambda d: search.shown(d.e, ASKED).select("rec_ord", "post_person_nbr"),
+    "date_display": lambda d: d.e.select("rec_ord", prepare.shown_date(F.col("post_start_date")).alias("start_day"), prepare.shown_date(F.col("post_end_date")).alias("end_day")),
+    "full_name_embeddings": lambda d: scoring.features(d.candidates()).select("mention_uid", "rec_ord", *(F.round(f"{p}_name_embedding", 6).alias(f"{p}_name_embedding") for p in names.PARTS)),
     "append_new": lambda d: sync.append_new(d.docs(), d.docs(True)).select("fs_path", "state"),
     "resolve_flagship": lambda d: d.resolved()[0].groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n")),
     "seeded_sample": _sample,

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stintgraph.functions import agency
+from stintgraph.functions.prepare import built_mentions
 from stintgraph.operators import gates
 from stintgraph.operators.candidates import select_candidates
 from stintgraph.operators.scoring import scored
 from stintgraph.operators.search import candidate_net, same_name_count
+from stintgraph.sources.tables import input_officer
 
 RECORD = ("post_person_nbr", "post_first_name", "post_middle_name", "post_last_name", "post_suffix", "post_agency_name", "post_agency_type", "post_start_date", "post_end_date", "county")
 
@@ -70,6 +72,21 @@ def candidate_lists(candidates: DataFrame) -> DataFrame:
     return candidates.groupBy("mention_id").agg(F.transform(F.array_sort(F.collect_list(key)), lambda x: x.rec).alias("candidates"))
 
 
+def resolve_one(mention: dict[str, str], employment: DataFrame, common: DataFrame, as_of: dt.date, default_state: str | None = None, **more: object) -> str:
+    """The verdict of one mention, given by the fields of a file of mentions, as compact JSON: its officer as
+    given, status, reason, ambiguous, gates, match and candidates."""
+    spark = employment.sparkSession
+    rows = built_mentions(spark.createDataFrame([tuple(mention.values())], ", ".join(f"`{k}` string" for k in mention)), default_state)
+    verdicts, candidates = resolve(rows, employment, common, as_of, **more)
+    told = verdicts.join(candidate_lists(candidates), "mention_id", "left").withColumn("input_officer", input_officer())
+    none = F.array().cast(candidate_lists(candidates).schema["candidates"].dataType)
+    shown = F.struct("input_officer", "status", "reason", "ambiguous", "gates", "match", F.coalesce("candidates", none).alias("candidates"))
+    found = told.select(F.to_json(shown).alias("v")).first()
+    if found is None:
+        raise ValueError("the mention has no incident year")
+    return found.v
+
+
 def summary(verdicts: DataFrame) -> DataFrame:
     matched = F.col("status") == "auto_matched"
     return verdicts.agg(F.count(F.lit(1)).alias("n"), F.count_if(matched).alias("n_matched"), F.count_if(~matched).alias("n_review"))

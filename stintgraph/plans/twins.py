@@ -69,7 +69,7 @@ _le = " OR ".join(f"contains(lower(agency), '{w}')" for w in agency.LE)
 _non = " OR ".join(f"contains(' ' || trim(lower(agency)) || ' ', '{w}')" for w in agency.NON_LE)
 DOCS = """old AS (SELECT 'd/' || c_custkey AS fs_path, lower(n_name) AS state, '{"phone":"' || c_name || '"}' AS raw FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 17 <> 0),
 new AS (SELECT 'd/' || c_custkey AS fs_path, lower(n_name) AS state, '{"phone":"' || c_name || CASE WHEN c_custkey % 7 = 0 THEN 'x' ELSE '' END || '"}' AS raw FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 11 <> 0)"""
-_asked = "post_first_name ILIKE '%al%' AND post_last_name ILIKE '%b1%'"
+_asked = "post_first_name ILIKE '%re%' AND post_last_name ILIKE '%11%'"
 _resync = "('france', 'germany', 'china', 'japan')"
 
 
@@ -145,6 +145,15 @@ SELECT mention_id, CAST(section AS INTEGER) AS section, CASE section {" ".join(f
     "sync_plan": f"""WITH {DOCS}, k AS (SELECT state, count(*) AS n FROM new GROUP BY state)
 SELECT lower(n_name) AS state, CASE WHEN n_nationkey % 5 = 0 THEN 'new state' WHEN n_nationkey % 3 = 0 THEN 'last_updated advanced' WHEN n_nationkey % 7 = 1 THEN 'row count changed' ELSE 'unchanged' END AS reason FROM nation""",
     "sync_diff": f"WITH {DOCS} SELECT coalesce(a.fs_path, b.fs_path) AS fs_path, CASE WHEN a.fs_path IS NULL THEN 'insert' WHEN b.fs_path IS NULL THEN 'delete' WHEN a.raw <> b.raw THEN 'update' ELSE 'keep' END AS action FROM old a FULL JOIN new b USING (fs_path)",
+    "resync_counts": f"""WITH {DOCS} SELECT count(b.fs_path) AS pulled, count(*) FILTER (WHERE b.fs_path IS NOT NULL AND (a.fs_path IS NULL OR a.raw <> b.raw)) AS changed,
+  count(*) FILTER (WHERE b.fs_path IS NULL) AS deleted FROM old a FULL JOIN new b USING (fs_path)""",
+    "baseline_meta": f"WITH {DOCS} SELECT lower(n_name) AS state, '2024-01-02' AS last_updated, count(fs_path) AS row_count FROM nation LEFT JOIN new ON new.state = lower(n_name) GROUP BY 1",
+    "page_after": f"WITH {DOCS} SELECT fs_path, state FROM old WHERE fs_path > 'd/5' ORDER BY fs_path LIMIT 100",
+    "search_shown": f"{BASE} SELECT rec_ord, post_person_nbr FROM e WHERE {_asked} ORDER BY rec_ord LIMIT 25",
+    "date_display": f"{BASE} SELECT rec_ord, coalesce(substr(CAST(post_start_date AS VARCHAR), 1, 10), '') AS start_day, coalesce(substr(CAST(post_end_date AS VARCHAR), 1, 10), '') AS end_day FROM e",
+    "stream_ingest": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
+    "seeded_sample": f"""{BASE} SELECT mention_uid FROM m ORDER BY md5(concat_ws('|', '7', CAST(mention_id AS VARCHAR), mention_uid, mention_first_name, '', mention_last_name, '', state, mention_agency, '', 'POLICE',
+  CAST(incident_year AS VARCHAR))) LIMIT 100""",
     "merge_result": f"WITH {DOCS} SELECT fs_path, state, raw FROM old WHERE state NOT IN {_resync} UNION ALL SELECT fs_path, state, raw FROM new WHERE state IN {_resync}",
     "append_new": f"WITH {DOCS} SELECT fs_path, state FROM new WHERE fs_path NOT IN (SELECT fs_path FROM old)",
     "resolve_flagship": f"{RESOLVED} SELECT status, reason, count(*) AS n FROM v GROUP BY status, reason",

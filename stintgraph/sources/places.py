@@ -5,15 +5,23 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where that is unset one of this process' own is made and set."""
+    """The folder in spark.checkpoint.dir; only where that is unset, in a local session, one of this process' own."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
-        at = tempfile.mkdtemp(prefix="stintgraph-")
-        atexit.register(shutil.rmtree, at, True)
-        spark.conf.set("spark.checkpoint.dir", at)
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+        at = _own()
     return at.rstrip("/")
+
+
+@lru_cache(1)
+def _own() -> str:
+    at = tempfile.mkdtemp(prefix="stintgraph-")
+    atexit.register(shutil.rmtree, at, True)
+    return at

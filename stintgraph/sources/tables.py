@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stintgraph.functions.names import feature_columns, strip
 from stintgraph.functions.prepare import built_mentions, seeded_sample
 
 
@@ -84,7 +85,22 @@ def read_mentions(spark: SparkSession, path: str, default_state: str | None = No
 
 
 def read_last_names(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True).select(F.upper(F.trim("last_name")).alias("last_name")).distinct()
+    return spark.read.csv(path, header=True).select(F.upper(strip(F.col("last_name"))).alias("last_name")).distinct()
+
+
+def features_file(spark: SparkSession, source: str, target: str) -> None:
+    """Reads a CSV file of pairs (columns ``mention_*`` and ``post_*``, as text; a missing name is null) and
+    writes it with the features beside them."""
+    rows = spark.read.csv(source, header=True, inferSchema=False)
+    names = [f"{s}_{p}" for s in ("mention", "post") for p in ("first_name", "middle_name", "last_name", "suffix")]
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in names if c not in rows.columns})
+    rows.withColumns(feature_columns()).write.mode("overwrite").csv(target, header=True)
+
+
+def distinct_in_jsonl(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """n_rows, n_distinct of a field of JSON lines; lines without it count as rows only."""
+    rows = spark.read.schema(f"`{column}` string").json(path)
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(F.col(f"`{column}`")).alias("n_distinct"))
 
 
 #: Files by bucket of a verdict, and the reasons that tell early filtering.

@@ -1,15 +1,19 @@
 """Operators on small hand-made rows: the cases that the demo tables don't hold."""
 
 import datetime as dt
+import json
+import math
 
 import pandas as pd
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from stintgraph.functions import agency, names, prepare
 from stintgraph.operators import candidates, gates, scoring, search, sync
 from stintgraph.plans import registry, resolve
 from stintgraph.sources import tables
+from stintgraph.streaming import ingest
 
 AS_OF = dt.date(2024, 6, 1)
 
@@ -80,6 +84,8 @@ def test_agency_kinds(spark, name, le, non):
 @pytest.mark.parametrize(("listed", "want"), [
     ("['Oakland Police Department', 'CHP']", ["X", "Oakland Police Department", "CHP"]), ("", ["X"]), ("  ", ["X"]), (None, ["X"]),
     ("Some Agency", ["X", "Some Agency"]), ("[]", ["X"]), ("['A', None, '']", ["X", "A"]),
+    ("['None Such PD', 'B']", ["X", "None Such PD", "B"]), ("['a',]", ["X", "a"]), ('''['O\\'Brien, PD', "it's"]''', ["X", "O'Brien, PD", "it's"]), ("['a'", ["X", "['a'"]),
+    ("[1, 0, None, 'b']", ["X", "1", "b"]), ("('a',)", ["X", "('a',)"]),
 ])
 def test_agency_lists(spark, listed, want):
     assert value(spark, agency.to_check(F.lit("X"), F.lit(listed).cast("string"))) == want
@@ -301,6 +307,85 @@ def test_ingest_takes_files_once(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(8))
 
 
+def test_ids_and_samples_do_not_follow_partitions(spark):
+    rows = spark.createDataFrame([("Ann", f"Bee{i % 7}", "2015") for i in range(40)], "first_name string, last_name string, incident_year string")
+    ids = [sorted((r.mention_id, r.mention_last_name) for r in prepare.built_mentions(rows.repartition(n)).collect()) for n in (1, 5)]
+    assert ids[0] == ids[1] and len({i for i, _ in ids[0]}) == 40
+    samples = [sorted(r.last_name for r in prepare.seeded_sample(rows.repartition(n), 11, 3).collect()) for n in (1, 5)]
+    assert samples[0] == samples[1] and len(samples[0]) == 11
+    assert prepare.seeded_sample(rows, 100, 3).count() == 40 and samples[0] != sorted(r.last_name for r in prepare.seeded_sample(rows, 11, 4).collect())
+
+
+def test_one_mention(spark):
+    e, common = emp(spark, stint("P1", "Scott", "Lunger"), stint("P2", "Scotty", "Lunger")), spark.createDataFrame([], "last_name string")
+    asked = {"first_name": "Scott", "last_name": "Lunger", "incident_date": "2015-07-22", "source_agency": "Hayward PD"}
+    got = json.loads(resolve.resolve_one(asked, e, common, AS_OF, default_state="california"))
+    assert (got["status"], got["match"]["post_person_nbr"], len(got["candidates"])) == ("auto_matched", "P1", 2) and got["input_officer"]["first_name"] == "SCOTT"
+    assert json.loads(resolve.resolve_one(asked | {"last_name": "Nobody"}, e, common, AS_OF, default_state="california"))["candidates"] == []
+    with pytest.raises(ValueError):
+        resolve.resolve_one(asked | {"incident_date": ""}, e, common, AS_OF)
+
+
+def test_features_from_file_to_file(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("id,mention_first_name,mention_last_name,post_first_name,post_last_name\n1,Ann,Lee,Ann,Lee\n2,Ann,Lee,Bob,\n")
+    tables.features_file(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"))
+    rows = {r.id: r for r in spark.read.csv(str(tmp_path / "out"), header=True).collect()}
+    assert float(rows["1"].first_name_jaro) == 1 and float(rows["2"].last_name_jaro) == 0 and float(rows["1"].middle_name_jaro) == 0.5
+    (tmp_path / "x.jsonl").write_text('{"id": "a"}\n{"id": "a"}\n{"id": "b"}\n{}\n')
+    assert tables.distinct_in_jsonl(spark, str(tmp_path / "x.jsonl"), "id").first() == (4, 2)
+
+
+def test_search_shows_few(spark):
+    e = emp(spark, *(stint(f"P{i}", "Ann", "Lee") for i in range(30)))
+    assert search.shown(e, search.Search(first_name="ann")).count() == search.SHOWN and search.shown(e, search.Search(first_name="ann", limit=3)).count() == 3
+    with pytest.raises(ValueError):
+        search.shown(e, search.Search(state="CA"))
+    assert [value(spark, prepare.shown_date(F.lit(x).cast("timestamp"))) for x in ("2020-02-03 04:05:06", None)] == ["2020-02-03", ""]
+
+
+def test_swap_keeps_the_version_before(spark, tmp_path):
+    at = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        sync.current(spark, at)
+    one = spark.createDataFrame([("a", "x")], "fs_path string, state string")
+    sync.swap_in(one, at)
+    before = sync.current(spark, at)
+    (tmp_path / "t" / "current" / "000000000009-broken").mkdir()  # a name that was never completed
+    assert sync.current(spark, at).first().fs_path == "a"
+    sync.swap_in(one.withColumn("fs_path", F.lit("b")), at)
+    assert sync.current(spark, at).first().fs_path == "b" and before.first().fs_path == "a"
+    stats = spark.createDataFrame([("x", 1), ("y", 2)], "state string, last_updated int")
+    assert {tuple(r) for r in sync.baseline(spark.createDataFrame([("x", 3)], "state string, n bigint"), stats).collect()} == {("x", 1, 3), ("y", 2, 0)}
+    assert {tuple(r) for r in ingest.latest_stats(stats.unionByName(spark.createDataFrame([("x", 7), (None, 9)], "state string, last_updated int"))).collect()} == {("x", 7), ("y", 2)}
+    docs = spark.createDataFrame([(f"d{i}",) for i in range(5)], "fs_path string")
+    assert [[r.fs_path for r in ingest.page_after(docs, c, 2).collect()] for c in (None, "d1", "d4")] == [["d0", "d1"], ["d2", "d3"], []]
+
+
+def test_embedding_features(spark):
+    """Against counts of hashed n-grams made in Python."""
+
+    def brute(a, b):
+        x, y = ([0.0] * 64 for _ in range(2))
+        for text, own in ((a, x), (b, y)):
+            marked = f"^{text.lower()}$"
+            for i in range(max(len(marked) - 2, 1)):
+                own[xxhash.xxh64_intdigest(marked[i : i + 3].encode(), 42) % 64] += 1
+        norm = math.sqrt(sum(v * v for v in x)) * math.sqrt(sum(v * v for v in y))
+        return sum(p * q for p, q in zip(x, y, strict=True)) / norm if norm else 0.0
+
+    e = emp(spark, stint("P1", "Scott", "Lunger"), stint("P2", "Scotty", "Lunger"), stint("P3", "Scott", "Lundgren"))
+    rows = scoring.features(search.candidate_net(men(spark, LUNGER), e)).collect()
+    assert len(rows) == 3
+    for r in rows:
+        for part, a, b in (("first", r.mention_first_name, r.post_first_name), ("last", r.mention_last_name, r.post_last_name), ("full", r.mention_full_name, r.post_full_name)):
+            assert r[f"{part}_name_embedding"] == pytest.approx(brute(a, b))
+
+
+def test_searches_find_rows(spark):
+    asked = registry.queries()
+    assert asked["search_contains"](spark, "/root/testdata/sf0.001").count() > 0 and asked["count_filtered"](spark, "/root/testdata/sf0.001").first().n > 0
+
+
 def test_empty_tables(spark):
     m, e = men(spark, LUNGER).limit(0), emp(spark, stint("P1", "Scott", "Lunger")).limit(0)
     v, c = resolve.resolve(m, e, spark.createDataFrame([], "last_name string"), AS_OF)
