@@ -3,10 +3,13 @@
 1. Every string of that length has an anchor, the part of half its length with the least hash, so
    equal strings have equal anchors. Anchors that occur once can't be in a repeated string.
 2. Around each repeated anchor stands a context, the longest stretch whose strings may all have
-   that anchor. Contexts with equal bytes (by a 128-bit digest) repeat as a whole.
+   that anchor. Contexts with equal bytes repeat as a whole; that they are equal is told by their
+   128-bit digests alone, without another look at their bytes.
 3. What differs, mostly at the ends of passages, is settled by sorting suffixes of the contexts of an
-   anchor (``suffix_sort``). An anchor with over LARGEST different contexts is settled by counting
-   its strings' digests instead, which needs no group in one place.
+   anchor (``suffix_sort``), where equal bytes are compared. The group of an anchor with over LARGEST
+   different contexts is first split by bytes beside it: a string that begins j bytes before the
+   anchor holds all that strings with a j nearby have in common, so ranges of j make narrower
+   contexts around longer anchors (WIDTHS), down to the string itself.
 
 Counts are summed within each worker's portion before anything is shuffled, so neither an anchor nor
 a context that a third of the texts hold gathers in one task.
@@ -19,7 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintgraph.llm.jaccard_join import texts_of
@@ -30,8 +33,10 @@ from stintgraph.llm.suffix_sort import anchors, repeated_windows
 LENGTH = 400
 #: Anchors that a worker holds before it hands them on.
 FLUSH = 1 << 19
-#: Different contexts of an anchor that one task may sort, and bytes of contexts it sorts at a time.
-LARGEST, SORTED_BYTES = 40_000, 1 << 20
+#: Different contexts of an anchor that one task sorts, and bytes of contexts it sorts at a time.
+LARGEST, SORTED_BYTES = 2_000, 1 << 20
+#: Strings whose places around an anchor span so many bytes share a context; the first holds them all.
+WIDTHS = (1 << 30, 16, 1)
 #: Different contexts that a worker remembers before it hands them on.
 REMEMBERED = 1 << 16
 
@@ -142,11 +147,18 @@ _ENTRY = [("anchor", pa.int64()), ("x", pa.int64()), ("y", pa.int64()), ("_id",
 _ENTRY_SQL = "anchor bigint, x bigint, y bigint, _id bigint, _h int, place int, low int, high int"
 
 
-def _entries(marked: DataFrame, length: int, single: bool = False) -> DataFrame:
-    """An entry for every context of ``marked`` (_id, _h, _text, places), with n, the number of equal
-    ones in the same portion; of those one goes on. ``single``: for every string of every context."""
+def _ranges(low: int, high: int, width: int, widest: int) -> Iterator[tuple[int, int, int, int]]:
+    """Parts of low..high that lie in one range of ``width`` each, and the range (up to ``widest``)."""
+    for first in range(low - low % width, high + 1, width):
+        last = min(first + width - 1, widest)
+        yield max(low, first), min(high, last), first, last
+
+
+def _entries(marked: DataFrame, length: int, width: int) -> DataFrame:
+    """An entry for every context of ``marked`` (_id, _h, _text, places), cut to ranges of ``width``, with n, the
+    number of equal ones in the same portion; of those one goes on. Its anchor is what all strings of the range hold."""
     schema = pa.schema([*_ENTRY, ("n", pa.int32()), ("told", pa.bool_())])
-    half = length // 2
+    widest = length - length // 2
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[bytes, list] = {}
@@ -159,11 +171,11 @@ def _entries(marked: DataFrame, length: int, single: bool = False) -> DataFrame:
             repeats: list[tuple] = []
             for i, h, body, places in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2)), _places_of(b.column(3)), strict=True):
                 for a, low, high in _contexts(body, places, length):
-                    for lo, hi in [(low, high)] if not single else [(j, j) for j in range(low, high + 1)]:
+                    for lo, hi, first, last in _ranges(low, high, width, widest):
                         key = hashlib.blake2b(body[a - hi : a - lo + length] + b"%d,%d" % (lo, hi), digest_size=16).digest()
                         if (known := held.get(key)) is None:
                             x, y = (int.from_bytes(key[k : k + 8], "little", signed=True) for k in (0, 8))
-                            held[key] = [_hash64(body[a : a + half]), x, y, i, h, a, lo, hi, 1, False]
+                            held[key] = [_hash64(body[a - first : a - last + length] + b"%d" % first), x, y, i, h, a, lo, hi, 1, False]
                             continue
                         if not known[9]:
                             repeats.append((*known[:8], 2, True))
@@ -255,42 +267,55 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     places = repeated_anchors(texts, length, buckets)
     marked = written(texts.join(places, ["_id", "_h"]), "marked")
     one_each = marked.dropDuplicates(["_id", "_h"])
-    entries = written(_entries(marked, length), "entries")
-    repeated, classes = _once_more(entries)
-    spans = [_spans(entries.where("told"), length), _spans(repeated, length)]
-    by_anchor = written(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).where("different > 1"), "anchors")
-    open_ = classes.join(by_anchor, "anchor")
-    spans.append(_sorted_spans(_with_context(one_each, open_.where(F.col("different") <= LARGEST), length), length, buckets))
-    large = by_anchor.where(F.col("different") > LARGEST)
-    if not large.isEmpty():
+    spans: list[DataFrame] = []
+    for width in WIDTHS:
+        entries = written(_entries(marked, length, width), "entries")
+        repeated, classes = _once_more(entries)
+        spans += [_spans(entries.where("told"), length), _spans(repeated, length)]
+        by_anchor = written(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).where("different > 1"), "anchors")
+        open_ = classes.join(by_anchor, "anchor")
+        spans.append(_sorted_spans(_with_context(one_each, open_.where(F.col("different") <= LARGEST), length), length, buckets))
+        # at the last width a context is the string that is its anchor, so no anchor has several
+        if by_anchor.where(F.col("different") > LARGEST).isEmpty():
+            break
         of = open_.where(F.col("different") > LARGEST).groupBy("_id", "_h").agg(F.collect_set("place").alias("_place"))
         big = lambda p: F.unhex(F.lpad(F.hex(p), 8, "0"))
         as_bytes = F.transform("_place", lambda p: F.concat(*(F.substring(big(p), k, 1) for k in (4, 3, 2, 1))))
-        strings = written(_entries(marked.drop("places").join(of, ["_id", "_h"]).withColumn("places", as_bytes), length, single=True), "strings")
-        again, _ = _once_more(strings)
-        spans += [_spans(strings.where("told"), length), _spans(again, length)]
+        marked = one_each.drop("places").join(of, ["_id", "_h"]).withColumn("places", as_bytes)
     every = spans[0]
-    for s in spans[1:]:
-        every = every.unionByName(s)
-    gathered = written(every.dropDuplicates().groupBy("_id", "_h").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")), "spans")
-    return gathered.select("_id", "_h", merged("spans").alias("spans"))
+    for x in spans[1:]:
+        every = every.unionByName(x)
+    return every.dropDuplicates().groupBy("_id", "_h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+
 
+def merged(spans: np.ndarray) -> np.ndarray:
+    """Spans (rows of start, end) in order, those that overlap or touch made one."""
+    spans = spans[np.argsort(spans[:, 0], kind="stable")]
+    ends = np.maximum.accumulate(spans[:, 1])
+    new = np.flatnonzero(np.concatenate([[True], spans[1:, 0] > ends[:-1]]))
+    return np.stack([spans[new, 0], ends[np.append(new[1:] - 1, len(spans) - 1)]], 1)
 
-def merged(spans: str) -> Column:
-    """Sorted spans with those that overlap or touch made one."""
-    empty = F.array().cast("array<struct<start:int,end:int>>")
 
-    def step(done: Column, s: Column) -> Column:
-        last = F.get(done, F.size(done) - 1)
-        joined = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(F.struct(last.start.alias("start"), F.greatest(last.end, s.end).alias("end"))))
-        return F.when((F.size(done) > 0) & (last.end >= s.start), joined).otherwise(F.concat(done, F.array(F.struct(s.start.alias("start"), s.end.alias("end")))))
+def whole_characters(body: bytes, spans: np.ndarray) -> np.ndarray:
+    """Spans of UTF-8 widened to whole characters, merged."""
+    data = np.frombuffer(body, np.uint8)
+    tail = np.append((data & 0xC0) == 0x80, False)
+    start, end = spans[:, 0].copy(), spans[:, 1].copy()
+    for _ in range(3):
+        start -= tail[start] & (start > 0)
+        end += tail[end]
+    return merged(np.stack([start, end], 1))
 
-    return F.aggregate(spans, empty, step)
+
+def without(body: bytes, spans: np.ndarray) -> bytes:
+    ends = [0, *spans[:, 1].tolist()]
+    return b"".join([body[a:b] for a, b in zip(ends, [*spans[:, 0].tolist(), len(body)], strict=True)])
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """The columns of ``docs`` and ``_cut``: struct of n_bytes, n_removed (long), spans (the removed
-    runs of bytes, array of struct start, end) and kept (binary: the other bytes, in order).
+    runs of bytes, array of struct start, end), kept (binary: the other bytes, in order) and text (string: what is
+    left where a character goes as a whole if a part of it is removed).
 
     Texts are taken as UTF-8; null and empty ones have no bytes. Every occurrence is removed, in every
     row, strings being judged on the whole input. Rows with equal key and text count as so many
@@ -300,23 +325,36 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     given = docs.select(row.alias("_row")).select("_row", F.coalesce(F.col(f"_row.`{key}`").cast("bigint"), F.lit(-(1 << 62))).alias("_id"), F.coalesce(F.col(f"_row.`{text}`"), F.lit("")).alias("_text"))
     given = given.withColumn("_h", F.hash("_text"))
     spans = repeated_spans(given.select("_id", "_h", "_text").where(F.octet_length("_text") >= length), length)
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    met = given.join(spans, ["_id", "_h"], "left").withColumn("spans", F.coalesce("spans", none))
-    body = F.col("_text").cast("binary")
-    gap = lambda s, i: F.substring(body, F.coalesce(F.get(F.col("spans"), i - 1).end, F.lit(0)) + 1, s.start - F.coalesce(F.get(F.col("spans"), i - 1).end, F.lit(0)))
-    last = F.get(F.col("spans"), F.size("spans") - 1).end
-    kept = F.when(F.size("spans") == 0, body).otherwise(
-        F.concat(F.aggregate(F.transform("spans", gap), F.lit(b""), lambda a, x: F.concat(a, x)), F.substring(body, last + 1, F.octet_length("_text")))
-    )
-    n = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s.end - s.start)
-    cut = F.struct(F.octet_length("_text").cast("bigint").alias("n_bytes"), n.alias("n_removed"), F.col("spans"), kept.alias("kept"))
-    return met.select("_row.*", cut.alias("_cut"))
+    met = given.join(spans, ["_id", "_h"], "left").select("_row", "spans")
+    at = docs.columns.index(text)
+    places = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    cut = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", places), ("kept", pa.binary()), ("text", pa.string())])
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in portions(batches):
+            rows = []
+            for body, own in zip(texts_of(b.column(0).field(at)), b.column(1).to_pylist(), strict=True):
+                if own is None:
+                    rows.append((len(body), 0, [], body, body))
+                    continue
+                runs = merged(np.array([(x["start"], x["end"]) for x in own], np.int64))
+                rows.append((len(body), int((runs[:, 1] - runs[:, 0]).sum()), [{"start": x, "end": y} for x, y in runs.tolist()], without(body, runs), without(body, whole_characters(body, runs))))
+            columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate([pa.int64(), pa.int64(), places, pa.binary(), pa.binary()])]
+            columns[4] = pa.Array.from_buffers(pa.string(), len(rows), columns[4].buffers())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.StructArray.from_arrays(columns, fields=list(cut))], names=["_row", "_cut"])
+
+    sql = "struct<n_bytes:bigint,n_removed:bigint,spans:array<struct<start:int,end:int>>,kept:binary,text:string>"
+    schema = met.select("_row", F.lit(None).cast(sql).alias("_cut")).schema
+    return met.mapInArrow(work, schema).select("_row.*", "_cut")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     cut = remove_repeats(docs)
-    return cut.select("doc_id", "_cut.n_bytes", "_cut.n_removed", F.size("_cut.spans").cast("bigint").alias("n_spans"), F.sha2("_cut.kept", 256).alias("kept_sha256"))
+    return cut.select(
+        "doc_id", "_cut.n_bytes", "_cut.n_removed", F.size("_cut.spans").cast("bigint").alias("n_spans"), F.sha2("_cut.kept", 256).alias("kept_sha256"),
+        F.octet_length("_cut.kept").cast("bigint").alias("n_kept"), F.col("_cut.text").alias("kept_text"),
+    )
 
 
 QUERIES = {"op7_suffix_dedup": op7_suffix_dedup}
