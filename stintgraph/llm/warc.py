@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -24,12 +25,15 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: A worker begins another archive after so many bytes.
 ARCHIVE_BYTES = 64 << 20
+#: How hard records are compressed, of 9.
+LEVEL = 3
 CAPTURES = ("response", "revisit", "resource")
 _CHUNK = 1 << 16
 
 
-def _record_id(kind: str, page_id: int | None, digest: str) -> str:
-    return f"<{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind}:{page_id}:{digest}').urn}>"
+def _record_id(kind: str, page_id: int | None, digest: str, again: str | None = None) -> str:
+    """``again`` tells rows apart that repeat an id with an equal payload; one of them has none."""
+    return f"<{uuid.uuid5(uuid.NAMESPACE_URL, ':'.join([kind, str(page_id), digest, *([again] if again else [])])).urn}>"
 
 
 def _base32(sha1_hex: str) -> str:
@@ -44,18 +48,30 @@ def _safe(value: str) -> str:
 def _record(kind: str, record_id: str, headers: dict[str, str], block: bytes) -> bytes:
     lines = {"WARC-Type": kind, "WARC-Record-ID": record_id, "WARC-Date": DATE} | headers | {"Content-Length": str(len(block))}
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines.items()) + "\r\n"
-    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    packer = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
     return packer.compress(head.encode()) + packer.compress(block) + packer.compress(b"\r\n\r\n") + packer.flush()
 
 
 def with_revisits(pages: DataFrame, least: int = 0) -> DataFrame:
-    """``_id, _url, _html, _sha1, _refers``: of rows with equal payloads of ``least`` bytes or more,
-    those with the largest id (nulls are smallest) are responses, the others refer to that id."""
+    """``_id, _url, _html, _sha1, _refers, _again``: of rows with equal payloads of ``least`` bytes or more,
+    those with the largest id (nulls are smallest) are responses, the others refer to that id. Of rows
+    that repeat both id and payload all but one have a token of their own, ``_again``."""
     keyed = pages.withColumn("_sha1", F.sha1(F.coalesce("_html", F.lit("")).cast("binary")))
-    many = F.coalesce(F.octet_length("_html"), F.lit(0)) >= least
-    groups = keyed.where(many).groupBy("_sha1").agg(F.max("_id").alias("_last"), F.count(F.lit(1)).alias("_n")).where("_n > 1 and _last is not null")
+    counts = keyed.select("_id", "_sha1", F.coalesce(F.octet_length("_html"), F.lit(0)).alias("_bytes")).groupBy("_id", "_sha1", "_bytes").agg(F.count(F.lit(1)).alias("_times"))
+    last = F.when(F.col("_bytes") >= least, F.max("_id")).alias("_last")
+    groups = counts.groupBy("_sha1", "_bytes").agg(last, F.sum("_times").alias("_n"), F.max("_times").alias("_most")).where("_n > 1")
+    groups = written(groups.select("_sha1", "_last", "_most"), "payload-groups")
     refers = F.when(~F.col("_id").eqNullSafe(F.col("_last")), F.col("_last"))
-    return keyed.join(written(groups.select("_sha1", "_last"), "payload-groups"), "_sha1", "left").withColumn("_refers", refers).drop("_last")
+    # payloads are as many as pages, whatever their compressed size: never broadcast
+    met = keyed.join(groups.hint("merge"), "_sha1", "left").withColumn("_refers", refers)
+    columns = ["_id", "_url", "_html", "_sha1", "_refers"]
+    if groups.where("_most > 1").isEmpty():
+        return met.select(*columns, F.lit(None).cast("string").alias("_again"))
+    odd = written(met.where("_most > 1").select(*columns, F.uuid().alias("_token")), "repeated-pages")
+    first = written(odd.select(F.struct("_id").alias("_of"), "_sha1", "_token").groupBy("_of", "_sha1").agg(F.min("_token").alias("_first")), "first-pages")
+    told = odd.withColumn("_of", F.struct("_id")).join(first.hint("merge"), ["_of", "_sha1"])
+    again = told.select(*columns, F.when(F.col("_token") != F.col("_first"), F.col("_token")).alias("_again"))
+    return met.where("_most is null or _most = 1").select(*columns, F.lit(None).cast("string").alias("_again")).unionByName(again)
 
 
 def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html", least: int = 0) -> DataFrame:
@@ -63,8 +79,8 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
     list of archives (archive, records, bytes). Only archives in the list count: what a lost or
     repeated task leaves behind isn't in it.
 
-    A null html is an empty payload, a null URL leaves out the target. Repeated rows give records of
-    the same ids. Extra columns aren't written.
+    A null html is an empty payload, a null URL leaves out the target. Rows that repeat one another give
+    records of their own, with ids of their own. Extra columns aren't written.
     """
     given = with_revisits(pages.select(F.col(f"`{key}`").cast("bigint").alias("_id"), F.col(f"`{url}`").alias("_url"), F.col(f"`{html}`").alias("_html")), least)
     schema = pa.schema([("archive", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
@@ -75,11 +91,11 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
         out, name, n, size = None, "", 0, 0
         done: list[tuple[str, int, int]] = []
         for b in batches:
-            for page_id, url, html, sha1, refers in zip(*(b.column(i) for i in range(5)), strict=True):
+            for page_id, url, html, sha1, refers, again in zip(*(b.column(i) for i in range(6)), strict=True):
                 if out is None:
                     name, n, size = f"pages-{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = store.open_output_stream(f"{top}/{name}", compression=None)
-                for r in transaction(page_id.as_py(), url.as_py(), html.as_py() or "", sha1.as_py(), refers.as_py()):
+                for r in transaction(page_id.as_py(), url.as_py(), html.as_py() or "", sha1.as_py(), refers.as_py(), again.as_py()):
                     out.write(r)
                     n, size = n + 1, size + len(r)
                 if size >= ARCHIVE_BYTES:
@@ -90,14 +106,21 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
             done.append((name, n, size))
         yield batch(schema, [*map(list, zip(*done, strict=True))] if done else [[], [], []])
 
-    columns = given.select("_id", "_url", "_html", "_sha1", "_refers")
+    columns = given.select("_id", "_url", "_html", "_sha1", "_refers", "_again")
     return written(columns.mapInArrow(work, "archive string, records bigint, bytes bigint"), "archives")
 
 
-def transaction(page_id: int | None, url: str | None, html: str, sha1: str, refers: int | None) -> list[bytes]:
+def _request(url: str | None) -> bytes:
+    """The request that a URL stands for: its path and query, and its host."""
+    m = re.match("(?:[^:/?#]*://([^/?#]*))?([^#]*)", _safe(url or ""))
+    target, host = f"/{m[2].removeprefix('/')}", f"Host: {m[1]}\r\n" if m[1] else ""
+    return f"GET {target} HTTP/1.1\r\n{host}\r\n".encode()
+
+
+def transaction(page_id: int | None, url: str | None, html: str, sha1: str, refers: int | None, again: str | None = None) -> list[bytes]:
     """The records of a capture: response or revisit, request, metadata."""
     payload, digest = html.encode("utf-8", "surrogatepass"), _base32(sha1)
-    own = _record_id("capture", page_id, digest)
+    own = _record_id("capture", page_id, digest, again)
     target = {"WARC-Target-URI": _safe(url)} if url is not None else {}
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     common = target | {"WARC-Payload-Digest": f"sha1:{digest}", "Content-Type": "application/http; msgtype=response"}
@@ -106,9 +129,9 @@ def transaction(page_id: int | None, url: str | None, html: str, sha1: str, refe
     else:
         first = _record("revisit", own, common | {"WARC-Profile": PROFILE, "WARC-Refers-To": _record_id("capture", refers, digest)}, head)
     beside = target | {"WARC-Concurrent-To": own}
-    request = _record("request", _record_id("request", page_id, digest), beside | {"Content-Type": "application/http; msgtype=request"}, b"GET / HTTP/1.1\r\n\r\n")
+    request = _record("request", _record_id("request", page_id, digest, again), beside | {"Content-Type": "application/http; msgtype=request"}, _request(url))
     fields = f"page_id: {page_id}\r\n".encode() if page_id is not None else b""
-    return [first, request, _record("metadata", _record_id("metadata", page_id, digest), beside | {"Content-Type": "application/warc-fields"}, fields)]
+    return [first, request, _record("metadata", _record_id("metadata", page_id, digest, again), beside | {"Content-Type": "application/warc-fields"}, fields)]
 
 
 def _unzipped(source: pa.NativeFile) -> Iterator[bytes]:
@@ -218,11 +241,12 @@ def assemble(records: DataFrame) -> DataFrame:
     others = records.where(F.col("type").isin("request", "metadata")).select(*slim)
     named = others.select(F.explode("concurrent_to").alias("_of"), F.struct(*slim).alias("_r"))
     naming = captures.select(F.col("record_id").alias("_of"), F.explode("concurrent_to").alias("_id"))
-    naming = naming.join(others.select(F.col("record_id").alias("_id"), F.struct(*slim).alias("_r")), "_id").select("_of", "_r")
+    # no side of these joins is bounded, and archives are small beside what is in them: never broadcast
+    naming = naming.join(others.select(F.col("record_id").alias("_id"), F.struct(*slim).alias("_r")).hint("merge"), "_id").select("_of", "_r")
     beside = named.unionByName(naming).withColumn("_k", F.col("_r.record_id")).dropDuplicates(["_of", "_k"])
     kind = lambda t: F.array_sort(F.collect_list(F.when(F.col("_r.type") == t, F.col("_r"))))
     groups = beside.groupBy("_of").agg(kind("request").alias("requests"), kind("metadata").alias("metadata"))
-    rows = captures.select(F.struct(*captures.columns).alias("capture")).join(groups, F.col("capture.record_id") == F.col("_of"), "left")
+    rows = captures.select(F.struct(*captures.columns).alias("capture")).join(groups.hint("merge"), F.col("capture.record_id") == F.col("_of"), "left")
     none = lambda c: F.coalesce(c, F.array().cast(groups.schema[c].dataType)).alias(c)
     return rows.select("capture", none("requests"), none("metadata"))
 
@@ -235,7 +259,7 @@ def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.get(fields, 0)["value"].cast("bigint").alias("page_id")
     flat = written(captures.select(page, *(f"capture.{x}" for x in ("record_id", "type", "payload_bytes", "payload_digest", "refers_to"))), "captures")
     known = flat.where("type <> 'revisit'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("_refers"))
-    return flat.join(known, "refers_to", "left").select(
+    return flat.join(known.hint("merge"), "refers_to", "left").select(
         "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), F.col("_refers").alias("refers_to")
     )
 
