@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from stintgraph.operators import candidates, gates, scoring, search, sync
 from stintgraph.plans import resolve
 from stintgraph.plans.twins import ORACLES
 from stintgraph.sources import tables
-from stintgraph.sources.places import shared_dir
+from stintgraph.sources.places import kept, shared_dir
 from stintgraph.streaming.ingest import ingest_available, page_after
 
 AS_OF = dt.date(9999, 12, 31)
@@ -44,22 +44,31 @@ class Data:
 
     @property
     def common(self) -> DataFrame:
-        return tables.common_last_names(self.e)
+        return tables.common_last_names(self.stored)
+
+    @cached_property
+    def stored(self) -> DataFrame:
+        """``e``, made once: the nets read it a dozen times."""
+        return kept(self.e, "employment")
+
+    @cached_property
+    def asked(self) -> DataFrame:
+        return kept(self.m, "mentions")
 
     @property
     def stated(self) -> DataFrame:
         """Mentions that pass stage 0's first gate, "State present"; with ``every`` all of them."""
-        return self.m if self.every else self.m.where("state is not null")
+        return self.asked if self.every else self.asked.where("state is not null")
 
     def candidates(self) -> DataFrame:
-        return candidates.select_candidates(search.candidate_net(self.stated, self.e), AS_OF)
+        return candidates.select_candidates(search.candidate_net(self.stated, self.stored), AS_OF)
 
     def scored(self) -> DataFrame:
         rows = scoring.scored(self.candidates())
         return rows.withColumns({"above_threshold": gates.above_threshold(F.col("match_probability"), STRICT), "exact_name": gates.exact_name()})
 
     def resolved(self) -> tuple[DataFrame, DataFrame]:
-        return resolve.resolve(self.m, self.e, self.common, AS_OF)
+        return resolve.resolve(self.asked, self.stored, self.common, AS_OF)
 
     def docs(self, changed: bool = False) -> DataFrame:
         """Customers as source documents of a state; a second version has fewer, more and changed ones."""
@@ -89,12 +98,12 @@ def _names(d: Data) -> DataFrame:
 
 
 def _county(d: Data) -> DataFrame:
-    kept = search.candidate_net(d.stated, d.e).withColumn("_in", candidates.in_county(F.lit("ASIA"))).where("_in")
+    kept = search.candidate_net(d.stated, d.stored).withColumn("_in", candidates.in_county(F.lit("ASIA"))).where("_in")
     return kept.groupBy("mention_uid").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _types(d: Data) -> DataFrame:
-    net = search.candidate_net(d.stated, d.e).withColumn("real", candidates.has_real_types())
+    net = search.candidate_net(d.stated, d.stored).withColumn("real", candidates.has_real_types())
     return net.groupBy("mention_uid").agg(F.count(F.lit(1)).alias("n"), F.max("real").cast("int").alias("real_types"))
 
 
@@ -230,18 +239,18 @@ BUILDERS: dict[str, Callable[[Data], DataFrame]] = {
     "count_all": lambda d: search.count(d.e, search.Search()),
     "count_by_state": lambda d: search.count_by_state(d.e),
     "normal_states": _states,
-    "officers_by_name": lambda d: search.officers_by_name(d.stated, d.e).select("mention_uid", "rec_ord"),
-    "same_name_count": lambda d: search.same_name_count(d.stated, d.e),
+    "officers_by_name": lambda d: search.officers_by_name(d.stated, d.stored).select("mention_uid", "rec_ord"),
+    "same_name_count": lambda d: search.same_name_count(d.stated, d.stored),
     "name_uniqueness": lambda d: search.name_uniqueness(_names(d), d.e),
-    "candidate_net": lambda d: search.candidate_nets(d.stated, d.e).select("mention_uid", "rec_ord", "net"),
-    "candidate_net_dedup": lambda d: search.candidate_net(d.stated, d.e).groupBy("mention_uid").agg(F.count(F.lit(1)).alias("n"), F.sum("rec_ord").alias("ords")),
-    "batch_candidate_meta": lambda d: search.net_summary(d.stated, search.candidate_net(d.stated, d.e)),
+    "candidate_net": lambda d: search.candidate_nets(d.stated, d.stored).select("mention_uid", "rec_ord", "net"),
+    "candidate_net_dedup": lambda d: search.candidate_net(d.stated, d.stored).groupBy("mention_uid").agg(F.count(F.lit(1)).alias("n"), F.sum("rec_ord").alias("ords")),
+    "batch_candidate_meta": lambda d: search.net_summary(d.stated, search.candidate_net(d.stated, d.stored)),
     "agency_counties": lambda d: search.agency_counties(d.e.select(F.col("post_agency_name").alias("agency")).distinct()),
     "date_overlap": lambda d: d.e.where(candidates.in_date_range(F.col("post_start_date"), F.col("post_end_date"), F.lit(1995), AS_OF)).select("rec_ord"),
     "county_person_filter": _county,
     "agency_type_detect": _types,
     "select_candidates": lambda d: d.candidates().select("mention_uid", "rec_ord"),
-    "stage0_gates": lambda d: gates.stage0(d.m, d.common, search.same_name_count(d.m, d.e)).select("mention_uid", F.col("skip").cast("int").alias("skip"), "reason", _text("gates")),
+    "stage0_gates": lambda d: gates.stage0(d.asked, d.common, search.same_name_count(d.asked, d.stored)).select("mention_uid", F.col("skip").cast("int").alias("skip"), "reason", _text("gates")),
     "lev_norm": lambda d: _kernel(d, names.levenshtein_norm, "value"),
     "length_ratio": lambda d: _kernel(d, names.length_ratio, "value"),
     "jaro_winkler": lambda d: _kernel(d, names.jaro_winkler, "value"),

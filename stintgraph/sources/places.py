@@ -5,9 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -20,6 +21,13 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once in the shared folder and read again: for what a plan reads many times."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @lru_cache(1)
 def _own() -> str:
     at = tempfile.mkdtemp(prefix="stintgraph-")
