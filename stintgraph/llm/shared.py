@@ -2,30 +2,38 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
+import ctypes
+import functools
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from stintgraph.llm.shingles import forget
+from stintgraph.sources.places import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir. Only where that is unset (a local
-    session, as in tests) a folder of this process' own is made and set."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        at = tempfile.mkdtemp(prefix="stintgraph-")
-        atexit.register(shutil.rmtree, at, True)
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+
+Work = Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+#: Parameters of the C library's mallopt.
+M_TRIM_THRESHOLD, M_MMAP_THRESHOLD = -1, -3
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"stintgraph-{spark.sparkContext.applicationId}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Removes all that operators of this application keep in the shared folder. What they returned before
+    can't be read any more then, so it is for the end of a job."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{_folder(spark)}")
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -49,6 +57,33 @@ def portions(batches: Iterable[pa.RecordBatch], most: int = 2 << 20) -> Iterator
             yield b.slice(at, step)
 
 
+@lru_cache(1)
+def _libc() -> ctypes.CDLL:
+    """The C library, told to give large blocks back at once: workers stay when their task has ended."""
+    lib = ctypes.CDLL(None)
+    if hasattr(lib, "mallopt"):
+        lib.mallopt(M_MMAP_THRESHOLD, 1 << 18)
+        lib.mallopt(M_TRIM_THRESHOLD, 1 << 18)
+    return lib
+
+
+def lean(work: Work) -> Work:
+    """``work``, after which its worker gives back the memory that it doesn't use."""
+
+    @functools.wraps(work)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lib = _libc()
+        try:
+            yield from work(batches)
+        finally:
+            forget()
+            pa.default_memory_pool().release_unused()
+            if hasattr(lib, "malloc_trim"):
+                lib.malloc_trim(0)
+
+    return run
+
+
 def raw(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array).tobytes()
 

@@ -36,6 +36,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(size, BASE), _powers(size, INVERSE)
 
 
+def forget() -> None:
+    """Gives up the tables of powers; the next call makes them anew."""
+    _powers.cache_clear()
+
+
 def groups(texts: list[bytes], most: int = 1 << 20) -> Iterator[list[int]]:
     """Numbers of texts that are worked on together, of about ``most`` bytes."""
     at, held = [], 0
