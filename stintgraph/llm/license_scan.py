@@ -45,7 +45,9 @@ EXCEPTED = 0.5
 BINDS = {"or": 1, "and": 2, "with": 3}
 #: Bytes that part words become blanks; A-Z become a-z.
 _FOLD = bytes(x + 32 if 65 <= x <= 90 else x if 48 <= x <= 57 or 97 <= x <= 122 or x >= 128 else 32 for x in range(256))
-_EXPRESSION = re.compile(r"spdx-license-identifier[ \t]*:[ \t]*([a-z0-9.+() \t-]+)", re.IGNORECASE)
+#: What stands behind a tag: an expression, up to what can't be of it.
+_EXPRESSION = re.compile(rb"[ \t]*:[ \t]*([A-Za-z0-9.+() \t-]+)")
+_WORD = re.compile(rb"[^ \t\n\x0b\f\r]+")
 _TOKEN = re.compile(r"[()]|[a-z0-9.+-]+")
 
 
@@ -140,10 +142,13 @@ def scan_text(text: str | None) -> dict:
         if label := BASE.get(phrase) or NOTICES.get(phrase):
             labels.add(label)
             scores.append(FAMILIES[label])
-    if any(p == TAG for p, _ in hits):
-        for m in _EXPRESSION.finditer(text or ""):
-            if value := evaluate(m[1]):
-                expressions.append(m[1].strip())
+    if tags := [n + len(TAG.split()) - 1 for p, n in hits if p == TAG]:
+        # the parser starts where the tag's last word ends
+        body = (text or "").encode("utf-8", "surrogatepass")
+        ends = [m.end() for m in _WORD.finditer(body.translate(_FOLD))]
+        for m in filter(None, (_EXPRESSION.match(body, ends[n]) for n in tags)):
+            if value := evaluate(m[1].decode()):
+                expressions.append(m[1].decode().strip())
                 labels |= value[0]
                 scores.append(value[1])
     return {"n_words": len(words), "hits": hits, "expressions": expressions, "labels": sorted(labels), "score": float(min(scores, default=0.0))}
@@ -189,5 +194,19 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op9_license_scan": op9_license_scan}
-ORACLE_SQL: dict[str, str] = {}
+def license_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op9 that SQL can express."""
+    return op9_license_scan(spark, sf_dir).drop("labels", "score")
+
+
+_PHRASES = ", ".join(f"('{p}', '{label}')" for p, label in BASE.items())
+QUERIES = {"op9_license_scan": op9_license_scan, "license_phrases": license_phrases}
+ORACLE_SQL = {
+    "license_phrases": rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+p AS (SELECT col0 AS phrase, col1 AS label, string_split(col0, ' ') AS words FROM (VALUES {_PHRASES})),
+h AS (SELECT doc_id, i - 1 AS place, label FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w) JOIN p ON w[i:i + len(words) - 1] = words),
+g AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, array_to_string(list_sort(list(DISTINCT label)), ',') AS base_labels FROM h GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels
+FROM w LEFT JOIN g USING (doc_id)"""
+}
