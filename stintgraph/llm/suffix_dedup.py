@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintgraph.llm.jaccard_join import texts_of
-from stintgraph.llm.shared import batch, n_shuffle, portions, raw, written
+from stintgraph.llm.shared import batch, lean, n_shuffle, portions, raw, written
 from stintgraph.llm.shingles import U64, groups
 from stintgraph.llm.suffix_sort import anchors, repeated_windows
 
@@ -120,8 +120,8 @@ def repeated_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
             twice &= places >= 0
             yield from told(_by_row(ids[twice], hs[twice], places[twice]))
 
-    dealt = texts.select("_id", "_h", "_text").mapInArrow(scatter, _PLACES_SQL)
-    told_rows = dealt.repartition(buckets, "bucket").mapInArrow(gather, _PLACES_SQL)
+    dealt = texts.select("_id", "_h", "_text").mapInArrow(lean(scatter), _PLACES_SQL)
+    told_rows = dealt.repartition(buckets, "bucket").mapInArrow(lean(gather), _PLACES_SQL)
     return told_rows.select("_id", "_h", "places").groupBy("_id", "_h").agg(F.collect_list("places").alias("places"))
 
 
@@ -190,7 +190,7 @@ def _entries(marked: DataFrame, length: int, width: int) -> DataFrame:
         if held:
             yield dealt()
 
-    return marked.select("_id", "_h", "_text", "places").mapInArrow(work, f"{_ENTRY_SQL}, n int, told boolean")
+    return marked.select("_id", "_h", "_text", "places").mapInArrow(lean(work), f"{_ENTRY_SQL}, n int, told boolean")
 
 
 def _spans(rows: DataFrame, length: int) -> DataFrame:
@@ -230,7 +230,7 @@ def _sorted_spans(shipped: DataFrame, length: int, parts: int) -> DataFrame:
 
     columns = shipped.select("anchor", "_id", "_h", "place", "low", "high", "context")
     dealt = columns.repartition(parts, "anchor").sortWithinPartitions("anchor")
-    return dealt.mapInArrow(work, "_id bigint, _h int, start int, end int")
+    return dealt.mapInArrow(lean(work), "_id bigint, _h int, start int, end int")
 
 
 def _with_context(marked: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -246,7 +246,7 @@ def _with_context(marked: DataFrame, wanted: DataFrame, length: int) -> DataFram
 
     of = wanted.groupBy("_id", "_h").agg(F.collect_set(F.struct("anchor", "place", "low", "high")).alias("entries"))
     met = marked.join(of, ["_id", "_h"]).select("_id", "_h", "_text", "entries")
-    return met.mapInArrow(work, "anchor bigint, _id bigint, _h int, place int, low int, high int, context binary")
+    return met.mapInArrow(lean(work), "anchor bigint, _id bigint, _h int, place int, low int, high int, context binary")
 
 
 def _once_more(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -345,7 +345,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", len
 
     sql = "struct<n_bytes:bigint,n_removed:bigint,spans:array<struct<start:int,end:int>>,kept:binary,text:string>"
     schema = met.select("_row", F.lit(None).cast(sql).alias("_cut")).schema
-    return met.mapInArrow(work, schema).select("_row.*", "_cut")
+    return met.mapInArrow(lean(work), schema).select("_row.*", "_cut")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,4 +358,17 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_suffix_dedup": op7_suffix_dedup}
-ORACLE_SQL: dict[str, str] = {}
+#: String by string and byte by byte: for small tables.
+ORACLE_SQL = {"op7_suffix_dedup": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+b AS (SELECT r, x, unnest(range(0, len(x) // 2)) AS p FROM d),
+w AS (SELECT r, p, substr(x, 2 * p + 1, 2) AS byte, CASE WHEN p + 400 <= len(x) // 2 THEN md5(substr(x, 2 * p + 1, 800)) END AS h FROM b),
+again AS (SELECT h FROM w WHERE h IS NOT NULL GROUP BY h HAVING count(*) > 1),
+c AS (SELECT r, p, byte, max(CASE WHEN again.h IS NOT NULL THEN p END) OVER (PARTITION BY r ORDER BY p ROWS BETWEEN 399 PRECEDING AND CURRENT ROW) IS NOT NULL AS cut,
+  sum(CASE WHEN byte BETWEEN '80' AND 'BF' THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p ROWS UNBOUNDED PRECEDING) AS ch FROM w LEFT JOIN again USING (h)),
+e AS (SELECT *, cut AND NOT coalesce(lag(cut) OVER (PARTITION BY r ORDER BY p), false) AS begins, bool_or(cut) OVER (PARTITION BY r, ch) AS torn FROM c),
+a AS (SELECT r, count(*) FILTER (WHERE cut) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans, count(*) FILTER (WHERE NOT cut) AS n_kept,
+  coalesce(string_agg(byte, '' ORDER BY p) FILTER (WHERE NOT cut), '') AS kept, coalesce(string_agg(byte, '' ORDER BY p) FILTER (WHERE NOT torn), '') AS whole FROM e GROUP BY r)
+SELECT doc_id, CAST(len(x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256,
+  coalesce(n_kept, 0) AS n_kept, decode(unhex(coalesce(whole, ''))) AS kept_text
+FROM d LEFT JOIN a USING (r)"""}
