@@ -154,6 +154,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs).selectExpr("doc_id", *(f"_quality.{x}" for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
 
 
+def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op10's verdicts alone, for SQL of the rules as they are now."""
+    return op10_quality_rules(spark, sf_dir).select("doc_id", "kept")
+
+
 def _sql_bounds(rules: tuple[Rule, ...]) -> str:
     def one(r: Rule) -> list[str]:
         value, per = (f"100 * {r.measure}", f" * {r.per}") if r.per else (r.measure, "")
@@ -179,8 +184,14 @@ LEFT JOIN (
           FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents))))
     WHERE n >= 2) GROUP BY doc_id) ON doc_id = rep_id"""
 
-QUERIES = {"op10_quality_rules": op10_quality_rules}
+#: With the measures of repeated lines by their characters.
+_BY_CHARACTERS = MEASURED_SQL.replace(
+    "CAST(len(l) AS BIGINT) AS n_lines,",
+    "CAST(len(l) AS BIGINT) AS n_lines, length(array_to_string(l, '')) AS line_chars, length(array_to_string(l, '')) - length(array_to_string(list_distinct(l), '')) AS dup_line_chars,",
+)
+QUERIES = {"op10_quality_rules": op10_quality_rules, "quality_verdicts": quality_verdicts}
 ORACLE_SQL = {
+    "quality_verdicts": f"SELECT doc_id, NOT ({_sql_bounds(BASE_RULES)}) AND NOT ({_sql_bounds(RULES)}) AS kept FROM ({_BY_CHARACTERS})",
     "op10_quality_rules": f"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({_sql_bounds(BASE_RULES)}) AS base_failed,
   NOT ({_sql_bounds(BASE_RULES)}) AND NOT ({_sql_bounds(SQL_RULES)}) AS kept
