@@ -3,10 +3,12 @@
 Rows are dealt into cells around sampled centres, large cells into parts; each block of about
 ``block_rows`` rows gets a cover tree of its data and one of its queries. Blocks meet in two rounds:
 every query group with its own block, which gives each query a first kth score; then with all blocks
-whose covering radii allow a score that good. Within a pair of blocks both trees are descended at
-once, and a pair of nodes is dropped if the largest product their radii allow is below the worst
-kth score of the query node. Pruning is only ever by bounds that hold, so results are exact; on data
-without clusters nothing can be pruned and every query meets every row, in blocks.
+whose covering radii allow a score that good. That is tested on centres and radii alone, before any
+vector is moved: a block is sent to those groups of query blocks only that it may serve. Within a
+pair of blocks both trees are descended at once, and a pair of nodes is dropped if the largest product
+their radii allow is below the worst kth score of the query node. Pruning is only ever by bounds
+that hold, so results are exact; on data without clusters nothing can be pruned and every query
+meets every row, in blocks.
 """
 
 from __future__ import annotations
@@ -16,44 +18,54 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stintgraph.llm.shared import raw, written
 
 K, BLOCK_ROWS, LEAF_ROWS = 20, 1024, 128
-#: Centres are rows of a sample of at most so many, the first in order of their ids' hashes.
+#: Centres are rows of a sample of at most so many, the first in order of their ids' hashes, that lie apart.
 MAX_CENTRES = 256
 #: Blocks that share a task: so many of data with so many of queries.
 TOGETHER = 8
+#: Blocks whose centres and radii are tested in one task, with as many query blocks.
+TESTED = 2048
 
 
 class CoverTree:
-    """Nodes as (centre, radius, norm of centre, rows, children); rows of a leaf in one array. A node's
-    rows are those within its covering radius; children cover half of it, until a node has
-    LEAF_ROWS rows or splitting it would part nearly every row from every other."""
+    """Nodes as (point, covering radius, norm of the point, rows, children); rows of a leaf in one array.
+    A node stands for a row of its own. On each level the scale halves: children are the node itself
+    (nesting) and rows that lie over the scale from it and from each other (separation), and every row
+    is under the first child within the scale (covering). A node stays a leaf with LEAF_ROWS rows or
+    fewer, or where the next level would part most rows from all others."""
 
     def __init__(self, points: np.ndarray) -> None:
         self.points = points.astype(np.float64)
-        self.root = self._node(np.arange(len(points)))
+        rows = np.arange(len(points))
+        far = self._far(self.points.mean(0), rows) if len(rows) else rows
+        self.root = self._node(int(np.argmin(far)), rows, math.inf) if len(rows) else (np.zeros(points.shape[1]), 0.0, 0.0, rows, ())
 
-    def _node(self, rows: np.ndarray) -> tuple:
-        centre = self.points[rows].mean(0) if len(rows) else np.zeros(self.points.shape[1])
-        far = np.sqrt(((self.points[rows] - centre) ** 2).sum(1))
-        radius = float(far.max(initial=0.0))
-        node = (centre, radius, float(np.sqrt((centre**2).sum())), rows)
+    def _far(self, of: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return np.sqrt(((self.points[rows] - of) ** 2).sum(1))
+
+    def _node(self, own: int, rows: np.ndarray, scale: float) -> tuple:
+        point = self.points[own]
+        radius = float(self._far(point, rows).max(initial=0.0))
+        node = (point, radius, float(np.sqrt((point**2).sum())), rows)
         if len(rows) <= LEAF_ROWS or radius == 0:
             return (*node, ())
-        left, parts = rows, []
+        scale, left, parts = min(scale, radius) / 2, rows, []
         while len(left):
-            at = left[np.argmin(((self.points[left] - centre) ** 2).sum(1))] if not parts else left[0]
-            near = ((self.points[left] - self.points[at]) ** 2).sum(1) <= (radius / 2) ** 2
-            near[left == at] = True
-            parts.append(left[near])
+            child = own if not parts else int(left[0])
+            near = self._far(self.points[child], left) <= scale
+            near[left == child] = True
+            parts.append((child, left[near]))
             left = left[~near]
             if len(parts) * 4 > len(rows):
                 return (*node, ())
-        return (*node, tuple(self._node(p) for p in parts)) if len(parts) > 1 else (*node, ())
+        return (*node, tuple(self._node(c, p, scale) for c, p in parts))
 
 
 def bound(a: tuple, b: tuple) -> float:
@@ -62,6 +74,42 @@ def bound(a: tuple, b: tuple) -> float:
     return top + 1e-9 * (abs(top) + (a[2] + a[1]) * (b[2] + b[1])) + 1e-6
 
 
+def bounds(a: np.ndarray, ra: np.ndarray, b: np.ndarray, rb: np.ndarray) -> np.ndarray:
+    """``bound`` of all pairs of centres ``a`` and ``b``, with their radii."""
+    na, nb = np.sqrt((a**2).sum(1))[:, None], np.sqrt((b**2).sum(1))[None, :]
+    ra, rb = ra[:, None], rb[None, :]
+    top = a @ b.T + na * rb + nb * ra + ra * rb
+    return top + 1e-9 * (np.abs(top) + (na + ra) * (nb + rb)) + 1e-6
+
+
+def apart(points: np.ndarray, n: int) -> list[int]:
+    """``n`` of the points (all, if fewer), each as far from those before it as any is."""
+    out, far = [0], np.full(len(points), np.inf)
+    while len(out) < min(n, len(points)):
+        far = np.minimum(far, ((points - points[out[-1]]) ** 2).sum(1))
+        out.append(int(np.argmax(far)))
+    return out
+
+
+def chained(centres: np.ndarray) -> list[int]:
+    """An order of the centres in which each is followed by the nearest one that is left."""
+    left, out = list(range(1, len(centres))), [0] if len(centres) else []
+    while left:
+        out.append(left.pop(int(np.argmin(((centres[left] - centres[out[-1]]) ** 2).sum(1)))))
+    return out
+
+
+def small(whole: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as hold them all, behind their number."""
+    least, most = int(whole.min(initial=0)), int(whole.max(initial=0))
+    kind = next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= least and most <= np.iinfo(t).max)
+    return bytes([np.dtype(kind).itemsize]) + raw(whole.astype(kind))
+
+
+def grown(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, f"<i{packed[0]}", offset=1).astype(np.int64)
+
+
 class Best:
     """The k best (score, id) of each query: higher scores first, then smaller ids."""
 
@@ -140,7 +188,13 @@ def top_k(vectors: DataFrame, every: int, k: int = K, key: str = "vec_id", vecto
     sample = rows.orderBy(F.xxhash64("_id"), "_id").limit(MAX_CENTRES).collect()
     centres = {d: np.array([r._v for r in sample if r._dim == d], float) for d in {r._dim for r in sample}}
 
+    n = rows.count()
+    wanted = max(1, math.ceil(n / block_rows))
+    # neighbours in number are neighbours in space, as far as a chain can be
+    centres = {d: c[chained(c)] for d, c in ((d, c[apart(c, wanted)]) for d, c in centres.items())}
+
     def cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealt = np.random.default_rng(TaskContext.get().partitionId())
         for b in batches:
             cells = np.zeros(b.num_rows, np.int32)
             dims = b.column(2).to_numpy()
@@ -149,17 +203,18 @@ def top_k(vectors: DataFrame, every: int, k: int = K, key: str = "vec_id", vecto
                 if d:
                     x = b.column(1).take(pa.array(at)).flatten().to_numpy().reshape(len(at), d).astype(float)
                     cells[at] = np.argmax(x @ c.T - (c**2).sum(1) / 2, 1)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells)], names=["_id", "_v", "_dim", "_cell"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells), pa.array(dealt.random(b.num_rows))], names=["_id", "_v", "_dim", "_cell", "_any"])
 
-    n = rows.count()
-    wanted = max(1, math.ceil(n / block_rows))
-    centres = {d: c[:wanted] for d, c in centres.items()}
-    celled = written(rows.mapInArrow(cell, "_id bigint, _v array<bigint>, _dim int, _cell int"), "vectors")
+    celled = written(rows.mapInArrow(cell, "_id bigint, _v array<bigint>, _dim int, _cell int, _any double"), "vectors")
     sizes = celled.groupBy("_dim", "_cell").count()
     parts = sizes.select("_dim", "_cell", F.ceil(F.col("count") / block_rows).alias("_parts"))
-    part = F.pmod(F.xxhash64("_id"), F.col("_parts")).cast("int").alias("_part")
-    dealt = celled.join(parts, ["_dim", "_cell"]).select("_id", "_v", "_dim", "_cell", part)
-    block_schema = "_dim int, n bigint, ids binary, whole binary, qids binary, queries binary, centre binary, radius double, qcentre binary, qradius double, kth double, own binary"
+    # a row for each cell, of which there are MAX_CENTRES for a length of vectors
+    starts = F.sum("_parts").over(Window.orderBy("_dim", "_cell")) - F.col("_parts")
+    parts = written(parts.withColumn("_start", starts), "cells")
+    total = parts.agg(F.sum("_parts")).first()[0] or 0
+    number = (F.col("_start") + F.floor(F.col("_any") * F.col("_parts"))).alias("_block")
+    dealt = celled.join(parts, ["_dim", "_cell"]).select("_id", "_v", "_dim", number)
+    block_schema = "_block bigint, _dim int, ids binary, whole binary, qids binary, queries binary, centre binary, radius double, qcentre binary, qradius double, kth double, own binary"
 
     def block(table: pa.Table) -> pa.Table:
         dim = table["_dim"][0].as_py()
@@ -168,29 +223,46 @@ def top_k(vectors: DataFrame, every: int, k: int = K, key: str = "vec_id", vecto
         data, queries = CoverTree(whole), CoverTree(whole[asked])
         best = Best(int(asked.sum()), k)
         search(queries, ids[asked], whole[asked], data, ids, whole, best)
-        own = pack_best(best)
         worst = float(best.kth.min()) if asked.any() else math.inf
-        row = [dim, len(ids), raw(ids), raw(whole), raw(ids[asked]), raw(whole[asked]), raw(data.root[0]), data.root[1], raw(queries.root[0]), queries.root[1], worst, own]
+        row = [table["_block"][0].as_py(), dim, raw(ids), small(whole), raw(ids[asked]), small(whole[asked]), raw(data.root[0]), data.root[1], raw(queries.root[0]), queries.root[1], worst, pack_best(best)]
         names = [x.split(" ")[0] for x in block_schema.split(", ")]
         return pa.table([pa.array([x], t) for x, t in zip(row, _BLOCK_TYPES, strict=True)], names=names)
 
-    blocks = dealt.groupBy("_dim", "_cell", "_part").applyInArrow(block, block_schema)
-    numbered = _numbered(written(blocks, "blocks"))
-    total = numbered.count()
+    numbered = written(dealt.groupBy("_dim", "_block").applyInArrow(block, block_schema), "blocks")
     data_side = numbered.select("_block", "_dim", "ids", "whole", "centre", "radius")
-    query_side = numbered.where(F.octet_length("qids") > 0).select(F.col("_block").alias("_of"), "_dim", "qids", "queries", "qcentre", "qradius", "kth", "own")
-    groups = math.ceil(total / TOGETHER)
+    query_side = numbered.where(F.octet_length("qids") > 0).select(F.col("_block").alias("_of"), F.col("_dim").alias("_qdim"), "qids", "queries", "qcentre", "qradius", "kth", "own")
+
+    def allowed(data: pa.Table, queries: pa.Table) -> pa.Table:
+        """Of blocks and query blocks that may meet: kind 0, a block and a group of query blocks; kind 1, a query block and a group of blocks."""
+        found: set[tuple[int, int, int]] = set()
+        for dim in set(data["_dim"].to_pylist()) & set(queries["_qdim"].to_pylist()):
+            d, q = (t.filter(pa.compute.equal(t[c], dim)) for t, c in ((data, "_dim"), (queries, "_qdim")))
+            x, y = (np.frombuffer(b"".join(c.to_pylist())).reshape(-1, dim) if dim else np.zeros((len(c), 0)) for c in (d["centre"], q["qcentre"]))
+            tops = bounds(y, q["qradius"].to_numpy(), x, d["radius"].to_numpy())
+            number, of = d["_block"].to_numpy(), q["_of"].to_numpy()
+            i, j = np.nonzero((tops >= q["kth"].to_numpy()[:, None]) | (of[:, None] == number[None, :]))
+            found.update(zip([0] * len(i), number[j].tolist(), (of[i] // TOGETHER).tolist(), strict=True))
+            found.update(zip([1] * len(i), of[i].tolist(), (number[j] // TOGETHER).tolist(), strict=True))
+        columns = [*map(list, zip(*found, strict=True))] if found else [[], [], []]
+        return pa.table([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.int64()) for c in columns[1:])], names=["kind", "number", "group"])
+
+    tested = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(0, (total - 1) // TESTED)).cast("bigint")))
+    of_chunk = lambda c: F.floor(F.col(c) / TESTED)
+    slim = data_side.select("_block", "_dim", "centre", "radius", of_chunk("_block").alias("_x"), tested.alias("_y"))
+    asking = query_side.select("_of", "_qdim", "qcentre", "qradius", "kth", of_chunk("_of").alias("_y"), tested.alias("_x"))
+    pairs = slim.groupBy("_x", "_y").cogroup(asking.groupBy("_x", "_y")).applyInArrow(allowed, "kind int, number bigint, group bigint")
+    meeting = written(pairs.dropDuplicates(), "meeting")
+    to = lambda kind, c, group: meeting.where(F.col("kind") == kind).select(F.col("number").alias(c), F.col("group").alias(group)).hint("merge")
     by = lambda c: F.floor(F.col(c) / TOGETHER).alias(f"{c}_group")
-    every_group = lambda name: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(0, groups - 1)).cast("bigint"))).alias(name)
-    left = data_side.select("*", by("_block"), every_group("_of_group"))
-    right = query_side.select("*", by("_of"), every_group("_block_group"))
+    left = data_side.join(to(0, "_block", "_of_group"), "_block").select("*", by("_block"))
+    right = query_side.join(to(1, "_of", "_block_group"), "_of").select("*", by("_of"))
 
     def meet(data: pa.Table, queries: pa.Table) -> pa.Table:
         out: list[tuple] = []
         loaded: dict[int, tuple] = {}
         for q in queries.to_pylist():
-            dim = q["_dim"]
-            qids, asked = np.frombuffer(q["qids"], np.int64), np.frombuffer(q["queries"], np.int64).reshape(-1, dim)
+            dim = q["_qdim"]
+            qids, asked = np.frombuffer(q["qids"], np.int64), grown(q["queries"]).reshape(-1, dim)
             best, tree = unpack_best(q["own"], len(qids), k), None
             qroot = (np.frombuffer(q["qcentre"]), q["qradius"], float(np.sqrt((np.frombuffer(q["qcentre"]) ** 2).sum())))
             home = False
@@ -205,7 +277,7 @@ def top_k(vectors: DataFrame, every: int, k: int = K, key: str = "vec_id", vecto
                 if bound(qroot, (centre, data["radius"][i].as_py(), float(np.sqrt((centre**2).sum())))) < best.kth.min():
                     continue
                 if number not in loaded:
-                    whole = np.frombuffer(data["whole"][i].as_py(), np.int64).reshape(-1, dim)
+                    whole = grown(data["whole"][i].as_py()).reshape(-1, dim)
                     loaded[number] = (CoverTree(whole), np.frombuffer(data["ids"][i].as_py(), np.int64), whole)
                 tree = tree or CoverTree(asked)
                 search(tree, qids, asked, *loaded[number], best)
@@ -221,7 +293,7 @@ def top_k(vectors: DataFrame, every: int, k: int = K, key: str = "vec_id", vecto
     return _ranked(met, k)
 
 
-_BLOCK_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.binary(), pa.float64(), pa.float64(), pa.binary()]
+_BLOCK_TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.binary(), pa.float64(), pa.float64(), pa.binary()]
 
 
 def _long(x: object) -> int:
@@ -243,18 +315,6 @@ def unpack_best(packed: bytes, n: int, k: int) -> Best:
     return best
 
 
-def _numbered(blocks: DataFrame) -> DataFrame:
-    """Blocks with ``_block``, numbers from 0 without gaps, the same on every run: blocks of a file
-    are counted behind those of the files before it."""
-    spread = blocks.withColumn("_row", F.monotonically_increasing_id())
-    slim = spread.select("_row").withColumn("_p", F.shiftright("_row", 33))
-    counts = [r["count"] for r in slim.groupBy("_p").count().orderBy("_p").collect()]
-    parts = [r["_p"] for r in slim.select("_p").distinct().orderBy("_p").collect()]
-    starts = np.cumsum([0, *counts[:-1]]).tolist() if counts else []
-    table = F.create_map(*[F.lit(x).cast("bigint") for pair in zip(parts, starts, strict=True) for x in pair]) if parts else F.create_map().cast("map<bigint,bigint>")
-    return spread.withColumn("_block", F.element_at(table, F.shiftright("_row", 33)) + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))).drop("_row")
-
-
 def _ranked(met: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("_of", "_at").orderBy(F.col("score").desc(), "vec_id")
     return met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
