@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Features are this many buckets; n-grams have GRAM characters; weights are in thousandths.
-BUCKETS, GRAM, UNIT = 4096, 3, 1000
+BUCKETS, GRAM, UNIT = 16_384, 3, 1000
 #: The labelled table may have so many rows: it is fitted on the driver.
 MAX_LABELLED = 100_000
 
@@ -45,19 +45,48 @@ RULES = (
     HostRule("block", "org", "/es/"),
 )
 
-#: Labelled hosts: 1 for hosts whose pages are unwanted. Each is seen with every path of PATHS.
-LABELLED_HOSTS = (
-    ("spam-farm.example.com", 1), ("www.spam-farm.example.net", 1), ("cheap-pills.example.org", 1), ("www.cheap-pills.example.net", 1),
-    ("casino-win.example.com", 1), ("m.casino-win.example.org", 1), ("free-bets.example.org", 1), ("blog.free-bets.example.com", 1),
-    ("ads-track.example.net", 1), ("www.ads-track.example.com", 1), ("adult-x.example.net", 1), ("m.adult-x.example.org", 1),
-    ("buy-pills-online.example.com", 1), ("best-casino.example.net", 1), ("bets-and-spins.example.org", 1), ("click-track.example.com", 1),
-    ("news.example.com", 0), ("www.library.example.org", 0), ("blog.garden.example.net", 0), ("m.weather.example.com", 0),
-    ("thread.example.org", 0), ("university.example.net", 0), ("www.museum.example.com", 0), ("blog.theother.example.org", 0),
-    ("m.station.example.net", 0), ("recipes.example.com", 0), ("www.nation.example.net", 0), ("blog.history.example.com", 0),
-    ("travel.example.org", 0), ("www.physics.example.org", 0), ("m.another.example.com", 0), ("writing.example.net", 0),
-)
-PATHS = ("", "/", "/en/17", "/de/430.html", "/fr/82/", "/es/961")
-LABELLED = tuple((f"http://{h}{p}", y) for h, y in LABELLED_HOSTS for p in PATHS)
+#: Words of host names: of unwanted kinds (gambling, pills, advertising, adult, junk) and of wanted ones.
+UNWANTED = (
+    "casino poker roulette jackpot slots betting bets lottery bingo wager pills viagra pharma meds steroids slimming cheap discount replica "
+    "payday loans spam spammy linkfarm clickbait popups adserver adverts ads banner tracker tracking adult porn xxx escorts hookup webcams "
+    "freebies free winner prizes bonus giveaway"
+).split()
+WANTED = (
+    "library museum garden weather history physics university school travel recipes music science city books journal news health village "
+    "archive forum sports nature maths cooking river mountain theatre cinema gazette herald observer station nation language writing "
+    "astronomy railway painting parish orchestra"
+).split()
+ENDINGS, BEFORE = ("com", "net", "org", "info", "example.com", "example.net", "example.org"), ("", "www.", "m.", "blog.")
+#: Paths that go with a label, and paths that go with both.
+PATHS = (
+    ("/articles/2021/spring.html", "/docs/guide", "/wiki/Main_Page", "/about/people", "/catalogue/item/42", "/"),
+    ("/bonus/claim-now", "/order/cheap-deal.html", "/click/out/88", "/promo/free-trial", "/signup/win", "/go/offer7"),
+)
+EITHER = ("", "/index.html", "/en/17", "/de/430.html", "/fr/82/", "/es/961", "/page/3", "/p?id=5")
+
+
+#: Wanted as well: so many names of invented syllables, as most hosts have none of the words.
+INVENTED, ONSETS, VOWELS, CODAS = 240, "b c d f g h j k l m n p r s t v w z st tr".split(), "a e i o u".split(), ["", "n", "r", "s", "l"]
+
+
+def labelled_urls() -> list[tuple[str, int]]:
+    """The labelled table, 1 for unwanted: every word with the ones four and thirteen places on, joined by a hyphen or
+    by nothing, with a number, and alone; each host with a path of its label and with two that say nothing."""
+    rows = []
+    syllables = [a + b + c for a in ONSETS for b in VOWELS for c in CODAS]
+    for i in range(INVENTED):
+        name = "".join(syllables[(i * k + k) % len(syllables)] for k in (37, 101, 263)[: 2 + i % 2])
+        rows += [(f"http://{BEFORE[i % len(BEFORE)]}{name}.{ENDINGS[i % len(ENDINGS)]}{EITHER[(i * k) % len(EITHER)]}", 0) for k in (1, 3)]
+    for y, words in enumerate((WANTED, UNWANTED)):
+        for i, w in enumerate(words):
+            near, far = (words[(i + k) % len(words)] for k in (4, 13))
+            for k, name in enumerate((f"{w}-{near}", f"{far}{w}", f"{w}-{far}", f"{w}{2 * i + 1}", w)):
+                host = f"{BEFORE[(i + k) % len(BEFORE)]}{name}.{ENDINGS[(2 * i + 3 * k) % len(ENDINGS)]}"
+                rows += [(f"http://{host}{p}", y) for p in (PATHS[y][(i + k) % len(PATHS[y])], EITHER[(i + 3 * k) % len(EITHER)], EITHER[(3 * i + k + 1) % len(EITHER)])]
+    return rows
+
+
+LABELLED = tuple(labelled_urls())
 
 
 @dataclass(frozen=True)
@@ -86,7 +115,7 @@ def _grams(s: str) -> list[str]:
     return [s[i : i + GRAM] for i in range(len(s) - GRAM + 1)]
 
 
-def fit(labelled: list[tuple[str | None, int]], rounds: int = 300, rate: float = 0.5, penalty: float = 1e-3) -> UrlModel:
+def fit(labelled: list[tuple[str | None, int]], rounds: int = 600, rate: float = 2.0, penalty: float = 1e-4) -> UrlModel:
     """Logistic regression by full gradient steps. Without rows of both labels nothing is blocked."""
     if len(labelled) > MAX_LABELLED:
         raise ValueError(f"the labelled table has over {MAX_LABELLED} rows")
