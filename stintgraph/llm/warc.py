@@ -254,7 +254,9 @@ def assemble(records: DataFrame) -> DataFrame:
 def op2_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     path = fresh_path(spark, "warc")
-    captures = assemble(read_archives(write_archives(pages, path), path))
+    # written, so that captures and what stands beside them come from one reading of the archives
+    records = written(read_archives(write_archives(pages, path), path).drop("payload"), "records")
+    captures = assemble(records)
     fields = F.filter(F.flatten("metadata.fields"), lambda x: x["name"] == "page_id")
     page = F.get(fields, 0)["value"].cast("bigint").alias("page_id")
     flat = written(captures.select(page, *(f"capture.{x}" for x in ("record_id", "type", "payload_bytes", "payload_digest", "refers_to"))), "captures")
