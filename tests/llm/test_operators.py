@@ -104,6 +104,25 @@ def test_url_model_generalizes():
         url_filter.fit([("", 1)] * (url_filter.MAX_LABELLED + 1))
 
 
+def test_url_model_on_hosts_left_out():
+    """Every fifth host of the labelled table, judged by a model that saw none of its rows."""
+    of = lambda u: url_filter.host_path(u)[0]
+    hosts, right = sorted({of(u) for u, _ in url_filter.LABELLED}), []
+    for k in range(5):
+        out = set(hosts[k::5])
+        model = url_filter.fit([r for r in url_filter.LABELLED if of(r[0]) not in out])
+        right += [((model.bias + sum(model.weights[b] for b in url_filter.buckets(u)) > 0) == y, y) for u, y in url_filter.LABELLED if of(u) in out]
+    assert len(right) == len(url_filter.LABELLED)
+    assert all(np.mean([ok for ok, y in right if y == label]) >= 0.9 for label in (0, 1))
+
+
+def test_urls_empty_and_repeated(spark):
+    df = spark.createDataFrame([(1, "http://casino.com/"), (1, "http://casino.com/"), (None, None)], "page_id int, url string")
+    model = url_filter.fit(list(url_filter.LABELLED))
+    assert sorted(r._url.verdict for r in url_filter.judge(df, model).collect()) == ["allow", "block", "block"]
+    assert url_filter.judge(df.limit(0), model).count() == 0
+
+
 # WARC
 
 
@@ -125,6 +144,21 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.assemble(warc.read_archives(warc.write_archives(df.limit(0), none), none)).count() == 0
 
 
+def test_warc_every_row_is_a_record(spark, tmp_path):
+    pages = [(1, "http://a/x?y#z", "same"), (1, "http://a/x?y#z", "same"), (1, "b", "same"), (2, "http://c", "same"), (2, "http://c", "same"), (None, "d", "q"), (None, "e", "q"), (3, None, "alone")]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    path = str(tmp_path / "w")
+    rows = warc.assemble(warc.read_archives(warc.write_archives(df, path), path)).collect()
+    assert Counter(r.capture.target for r in rows) == Counter(u for _, u, _ in pages) and len({r.capture.record_id for r in rows}) == len(pages)
+    assert all(len(r.requests) == len(r.metadata) == 1 for r in rows)
+    last = [r.capture.record_id for r in rows if r.capture.target == "http://c"]
+    assert {r.capture.refers_to for r in rows if r.capture.type == "revisit"} < set(last) and sum(r.capture.type == "revisit" for r in rows) == 3
+    df.write.parquet(str(tmp_path / "pages.parquet"))
+    got = Counter((r.page_id, r.record_type, r.refers_to) for r in warc.op2_warc_transactions(spark, str(tmp_path)).collect())
+    assert got == Counter({(1, "revisit", 2): 3, (2, "response", None): 2, (None, "response", None): 2, (3, "response", None): 1})
+    assert warc._request("http://a/x?y#z") == b"GET /x?y HTTP/1.1\r\nHost: a\r\n\r\n" and warc._request("http://c") == b"GET / HTTP/1.1\r\nHost: c\r\n\r\n" and warc._request(None) == b"GET / HTTP/1.1\r\n\r\n"
+
+
 def test_warc_other_direction(spark):
     kinds = spark.read.json(spark.sparkContext.parallelize(['{"record_id":"r","type":"response","concurrent_to":["q"]}', '{"record_id":"q","type":"request","concurrent_to":[]}', '{"record_id":"m","type":"metadata","concurrent_to":["gone"]}']), schema="record_id string, type string, concurrent_to array<string>")
     row = warc.assemble(kinds).first()
@@ -386,7 +420,9 @@ def test_null_keys_link_with_nothing(spark):
     assert sorted(str(r.component_id) for r in jaccard_join.near_duplicates(df).collect()) == ["3", "None", "None"] and jaccard_join.keep_one(df).count() == 3
 
 
-def test_components(spark):
+@pytest.mark.parametrize("forest", [components.FOREST, 7])
+def test_components(spark, monkeypatch, forest):
+    monkeypatch.setattr(components, "FOREST", forest)
     rng = random.Random(11)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(k, k + 1) for k in range(100, 140)] + [(7, 7), (None, 1)]
     up = {x: x for p in links if None not in p for x in p}
@@ -394,7 +430,7 @@ def test_components(spark):
         for a, b in links:
             if a is not None:
                 up[a] = up[b] = min(up[a], up[b])
-    got = components.connected_components(spark.createDataFrame(links, "a bigint, b bigint"))
+    got = components.connected_components(spark.createDataFrame(links, "a bigint, b bigint").repartition(6))
     assert {r.node: r.component for r in got.collect()} == up
 
 
