@@ -1,34 +1,32 @@
 """Packing: harmonic packing of tokenized documents into sequences of fixed length.
 
-Each worker packs what it reads, on its own. A document is cut into pieces whose lengths are
-reciprocal parts of the capacity: as many whole sequences as it fills, then halves, quarters and so
-on down to capacity / 2**CUTS; the rest, shorter than the last, stays whole. A piece's class is the
-k with capacity / (k + 1) < length <= capacity / k; k pieces of class k share a sequence. What is left
-of a worker's classes at its end is packed together, longest first.
+Each worker packs what it reads, on its own. A document fills whole sequences as long as it can; the
+rest is classed by its true length: class k holds lengths with capacity / (k + 1) < length <=
+capacity / k, and k pieces of class k make a sequence. What such a sequence lacks is cut from the
+front of one more rest, the donor, and from the next one where that ends; so no sequence is padded
+but the last of each worker, where what is left of all classes is laid side by side.
 """
 
 from __future__ import annotations
 
-import base64
 import re
-
-from collections.abc import Iterable, Iterator
+import struct
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stintgraph.llm.shared import batch, portions
+from stintgraph.llm.shared import batch, lean, portions
 
-CAPACITY, CUTS = 1024, 5
-#: A worker remembers the ids of so many distinct words (some 150 bytes each), then starts anew.
-REMEMBERED = 400_000
+CAPACITY = 1024
+#: A worker remembers the ids of so many words, and of as many before them (some 150 bytes each).
+REMEMBERED = 250_000
 #: Ids kept in memory before rows are handed on.
 FLUSH_IDS = 1 << 20
 
@@ -38,79 +36,113 @@ WORDS = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^{SPAC
 PLAIN = re.compile("[\x00-\xff]*\\Z")
 
 
+class Words(dict):
+    """Ids by word, made when first asked for. What wasn't asked for again in the time of REMEMBERED other words goes."""
+
+    def __init__(self, encode: Callable[[str], list[int]]) -> None:
+        super().__init__()
+        self.encode, self.before = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            own = self.encode(word)
+            ids = struct.pack(f"<{len(own)}I", *own)
+        self[word] = ids
+        return ids
+
+    def age(self) -> None:
+        if len(self) > REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+
+
 class ByteBpe:
-    """Ids of a text under a byte-level BPE vocabulary, as little-endian 32-bit bytes. Texts within
-    U+0000 to U+00FF go word by word through a bounded memory of words; all others go through the
-    tokenizer as a whole. Both give the same ids."""
+    """Ids of a text under a byte-level BPE vocabulary, as little-endian 32-bit bytes, by the tokenizer. Texts
+    within U+0000 to U+00FF are parted into words first, which a bounded memory knows again; all others
+    go to the tokenizer as a whole. Both give the same ids. Names of special tokens are ordinary text."""
 
-    def __init__(self, vocabulary: str, ranks: str) -> None:
+    def __init__(self, vocabulary: str) -> None:
         self.whole = Tokenizer.from_file(vocabulary)
         self.whole.encode_special_tokens = True
-        with open(ranks, "rb") as f:
-            merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.piece = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})._core_bpe.encode_single_piece
-        self.known: dict[str, bytes] = {}
+        self.known = Words(lambda word: self.whole.encode(word, add_special_tokens=False).ids)
 
     def __call__(self, text: str) -> bytes:
         if not PLAIN.match(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words, known = WORDS.findall(text), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            for w in (w for w in set(words) if w not in known):
-                known[w] = np.array(self.piece(w.encode()), "<u4").tobytes()
-            return b"".join([known[w] for w in words])
+        self.known.age()
+        return b"".join(map(self.known.__getitem__, WORDS.findall(text)))
 
 
 @lru_cache(1)
-def tokenizer(vocabulary: str, ranks: str) -> ByteBpe:
-    return ByteBpe(vocabulary, ranks)
+def tokenizer(vocabulary: str) -> ByteBpe:
+    return ByteBpe(vocabulary)
 
 
 def cuts(length: int, capacity: int) -> Iterator[int]:
-    """Lengths of the pieces of a document of ``length`` ids, first to last."""
-    for k in range(CUTS + 1):
-        part = capacity >> k
-        if part < 1:
-            break
-        while length >= part:
-            yield part
-            length -= part
-    if length:
-        yield length
+    """Lengths of what a document of ``length`` ids gives: whole sequences, then the rest."""
+    yield from [capacity] * (length // capacity)
+    if length % capacity:
+        yield length % capacity
 
 
 class Bins:
-    """Open sequences of one worker: for each class k, the pieces gathered so far (under k)."""
+    """Open sequences of one worker: for each class k fewer than k pieces, one sequence that waits to be
+    filled up, and the donor. Pieces are lists of key, start, length, ids and the document's length."""
 
     def __init__(self, capacity: int, first_id: int) -> None:
         self.capacity, self.next_id, self.open = capacity, first_id, {}
+        self.waiting: list[list] = []
+        self.lack, self.donor = 0, None
 
     def put(self, piece: list) -> list[tuple[int, int, list]]:
         """Placements (sequence_id, offset, piece) of a sequence that ``piece`` completes."""
+        if piece[2] == self.capacity:
+            return self._close([piece])
+        if self.waiting:
+            self.donor = piece
+            return self._fill()
         k = self.capacity // piece[2]
         own = self.open.setdefault(k, [])
         own.append(piece)
         if len(own) < k:
             return []
         del self.open[k]
+        self.waiting, self.lack = own, self.capacity - sum(p[2] for p in own)
+        return self._fill()
+
+    def _fill(self) -> list[tuple[int, int, list]]:
+        if self.lack and self.donor:
+            head, self.donor = self._parted(self.donor, self.lack)
+            self.waiting.append(head)
+            self.lack -= head[2]
+        if self.lack:
+            return []
+        own, self.waiting = self.waiting, []
         return self._close(own)
 
+    @staticmethod
+    def _parted(piece: list, n: int) -> tuple[list, list | None]:
+        """The first ``n`` ids of a piece, and what is left of it."""
+        key, start, length, ids, total = piece
+        if length <= n:
+            return piece, None
+        return [key, start, n, ids[: 4 * n], total], [key, start + n, length - n, ids[4 * n :], total]
+
     def rest(self) -> Iterator[tuple[int, int, list]]:
-        """All that is still open, longest first into the first sequence with room."""
-        pieces = sorted((p for own in self.open.values() for p in own), key=lambda p: (-p[2], p[0] is None, p[0], p[1]))
-        self.open, made, room = {}, [], []
-        for p in pieces:
-            at = next((i for i, r in enumerate(room) if r >= p[2]), len(made))
-            if at == len(made):
-                made.append([])
-                room.append(self.capacity)
-            made[at].append(p)
-            room[at] -= p[2]
-        for own in made:
+        """All that is still open, side by side, the largest classes first."""
+        left = [*self.waiting, *([self.donor] if self.donor else []), *(p for k in sorted(self.open) for p in self.open[k])]
+        self.open, self.waiting, self.donor = {}, [], None
+        own, room = [], self.capacity
+        for p in left:
+            while p:
+                head, p = self._parted(p, room)
+                own.append(head)
+                room -= head[2]
+                if not room:
+                    yield from self._close(own)
+                    own, room = [], self.capacity
+        if own:
             yield from self._close(own)
 
     def _close(self, own: list) -> list[tuple[int, int, list]]:
@@ -123,15 +155,15 @@ class Bins:
 
 
 def pack(
-    docs: DataFrame, vocabulary: str, ranks: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = 0
+    docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = 0
 ) -> DataFrame:
     """One row per piece of a document: ``{key}``, start, length (long), ids (binary: little-endian
     32-bit ids), doc_tokens, sequence_id, offset (long). The ids of a document are those of its text
     and ``end_id`` behind them, so a null or empty text is one piece of one id. Pieces of a sequence lie
     side by side from offset 0; together they have at most ``capacity`` ids. Sequence ids are unique.
 
-    Repeated rows and null keys are documents like any other. A worker holds fewer than capacity
-    pieces of each class, whatever it reads; a text is tokenized as a whole, in memory.
+    Repeated rows and null keys are documents like any other. A worker holds fewer than k pieces of
+    class k, a sequence and a donor, whatever it reads; a text is tokenized as a whole, in memory.
     """
     if not 1 <= capacity < 1 << 20:
         raise ValueError("capacity must be at least 1 and under 2**20")
@@ -139,7 +171,7 @@ def pack(
     end = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, bins = tokenizer(vocabulary, ranks), Bins(capacity, TaskContext.get().partitionId() << 40)
+        encode, bins = tokenizer(vocabulary), Bins(capacity, TaskContext.get().partitionId() << 40)
         done: list[tuple[int, int, list]] = []
         held = 0
 
@@ -165,12 +197,12 @@ def pack(
 
     kind = docs.schema[key].dataType.simpleString()
     given = docs.select(F.col(f"`{key}`").cast("bigint").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    packed = given.mapInArrow(work, "_key bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
+    packed = given.mapInArrow(lean(work), "_key bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
     return packed.select(F.col("_key").cast(kind).alias(key), *packed.columns[1:])
 
 
-def public_paths() -> tuple[str, str]:
-    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+def public_paths() -> tuple[str]:
+    return (public_tokenizers.path("byte_bpe_50k.json"),)
 
 
 def with_crc(packed: DataFrame) -> DataFrame:
