@@ -26,7 +26,7 @@ from stintgraph.llm.shared import batch, lean, portions
 
 CAPACITY = 1024
 #: A worker remembers the ids of so many words, and of as many before them (some 150 bytes each).
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 #: Ids kept in memory before rows are handed on.
 FLUSH_IDS = 1 << 20
 
