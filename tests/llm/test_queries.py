@@ -200,3 +200,12 @@ def test_top_k_moves_what_may_meet(spark, monkeypatch):
         topk_search.top_k(spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>"), 4, k=3, block_rows=48).count()
         sent.append(moved["n"])
     assert sent[1] <= 3 * sent[0]
+
+
+def test_op10_counts_lines_as_its_sql(spark, tmp_path):
+    """A short header that is also the footer: over 30 of 100 lines, few of the characters."""
+    text = "The header\n" + "the law of this and that is in the book " * 3 + " ".join(f"word{i}" for i in range(40)) + "\nThe header"
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = quality_rules.op10_quality_rules(spark, str(tmp_path)).first()
+    assert (got.n_dup_lines, got.base_failed, got.kept) == (1, False, False)
+    assert quality_rules.quality_verdicts(spark, str(tmp_path)).first().kept
