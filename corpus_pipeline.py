@@ -14,6 +14,10 @@ from stintgraph.llm import jaccard_join, packing, quality_rules, suffix_dedup
 from stintgraph.llm.shared import written
 
 
+#: So many words are a passage, though they have fewer than 400 bytes.
+WORDS = 50
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects. Null and empty texts hold no word and go; repeated rows
     are judged one by one; an empty table stays empty."""
@@ -27,10 +31,10 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without strings of 400 bytes that also start elsewhere. A character of which a
+    """All documents, without strings of 400 bytes, or of WORDS words, that also start elsewhere. A character of which a
     part is cut goes as a whole. Texts from which nothing is cut stay as they are, null ones null; one
     that is cut wholly is empty. Rows that repeat a text repeat all its strings."""
-    cut = suffix_dedup.remove_repeats(docs)
+    cut = suffix_dedup.remove_repeats(docs, words=WORDS)
     rest, changed, kinds = F.col("_cut.text"), F.col("_cut.n_removed") > 0, dict(docs.dtypes)
     own = {
         "text": F.when(changed, rest).otherwise(F.col("text")),

@@ -40,3 +40,18 @@ def test_stages(spark, tmp_path):
     packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {i: sum(r.length for r in packed if r.doc_id == i) for i in total} == total and len({r.doc_id for r in packed}) == len(total)
     assert np.all([r.offset + r.length <= packing.CAPACITY for r in packed])
+
+
+def test_short_passages_of_many_words_are_cut(spark):
+    """50 words in fewer than 400 bytes, blanks between them of any kind; 49 words stay."""
+    rng = random.Random(31)
+    word = lambda a, b: "".join(rng.choices("abcdefghijé", k=rng.randint(a, b)))
+    own = [" ".join(word(4, 9) for _ in range(70)) for _ in range(8)]
+    passage = [word(3, 6) for _ in range(50)]
+    short, other = passage[1:], " ".join(passage[:30]) + "\n" + " ".join(passage[30:])
+    assert len(" ".join(passage).encode()) < 400
+    texts = [f"{own[0]} {' '.join(passage)} {own[1]}", f"{own[2]} {other}", f"{own[3]}z {' '.join(short)} {own[4]}", own[5], None, "", " ".join(["a"] * 49), " ".join(["b"] * 51)]
+    rows = [(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)]
+    left = {r.doc_id: r for r in corpus_pipeline.cut_repeats(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
+    assert {i: r.text for i, r in left.items()} == dict(enumerate([f"{own[0]}  {own[1]}", f"{own[2]} ", *texts[2:7], ""]))
+    assert left[0].n_chars == len(left[0].text)
